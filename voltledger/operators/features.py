@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltledger import settings as S
+from voltledger.operators import quantiles
 from voltledger.operators.joins import bounded_local, lookup_join
-from voltledger.operators.quantiles import exact_quantiles
 
 # One POWER price, a price per commodity, or a table (commodity, market_price).
 MarketPrice = float | Mapping[str, float] | DataFrame | None
@@ -47,7 +47,23 @@ def _nonzero(c: Column) -> Column:
     return F.nullif(c, F.lit(0.0))
 
 
-def reference_price(df: DataFrame, market_price: MarketPrice = None) -> DataFrame:
+def book_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame | None:
+    """(column, entity, rows) for all ``columns`` in one pass, nulls included; None if too many entities."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("entity")) for c in columns])
+    counted = df.select(F.explode(pairs).alias("e")).groupBy("e.column", "e.entity").agg(F.count("*").alias("rows"))
+    return bounded_local(counted)
+
+
+def _counts_of(df: DataFrame, column: str, counts: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
+    """Rows per entity of ``column``, nulls included: as a plan, and as a local table if small."""
+    if counts is None:
+        plan = df.groupBy(F.col(column).cast("string").alias(column)).agg(F.count("*").alias("_held"))
+        return plan, bounded_local(plan)
+    few = counts.where(F.col("column") == column).select(F.col("entity").alias(column), F.col("rows").alias("_held"))
+    return few, few
+
+
+def reference_price(df: DataFrame, market_price: MarketPrice = None, counts: DataFrame | None = None) -> DataFrame:
     """``df`` plus ``reference_price``: explicit price, batch median, default level, global median, 1."""
     table = None
     if isinstance(market_price, DataFrame):
@@ -56,7 +72,7 @@ def reference_price(df: DataFrame, market_price: MarketPrice = None) -> DataFram
     prices = df.withColumn("_price", number("price_eur_mwh"))
 
     def global_median() -> float | None:
-        return exact_quantiles(prices, "_price", alias="m").first()["m"]
+        return quantiles.exact_quantiles(prices, "_price", alias="m").first()["m"]
 
     if "commodity" not in df.columns:
         level = explicit.get("POWER")
@@ -65,31 +81,39 @@ def reference_price(df: DataFrame, market_price: MarketPrice = None) -> DataFram
             level = S.DEFAULT_MARKET_LEVEL["POWER"] if level is None else level
         return df.withColumn("reference_price", F.lit(float(level or 1.0)))
 
-    medians = exact_quantiles(prices, "_price", ["commodity"], alias="_median")
+    plan, local = _counts_of(df, "commodity", counts)
+    sizes = plan if local is None else local
+    medians = quantiles.exact_quantiles(prices, "_price", ["commodity"], alias="_median", sizes=sizes.withColumnRenamed("_held", "_n"))
+    few = bounded_local(medians)
+    medians = medians if few is None else few
     known = _per_commodity(explicit)
+    levels = sizes.join(medians, "commodity", "left")
     if table is not None:
-        df = lookup_join(df, table.select("commodity", F.col("market_price").cast("double").alias("_known")), "commodity")
-        known = _nonzero(F.col("_known"))
-    resolved = F.coalesce(known, _nonzero(F.col("_median")), _per_commodity(S.DEFAULT_MARKET_LEVEL))
-    joined = lookup_join(df, medians, "commodity")
-    # The global median needs a pass of its own, so it is computed only if a row falls through to it.
-    last = None
-    if not joined.where(resolved.isNull()).isEmpty():
-        last = global_median()
-    fallback = F.lit(float(last)) if last else F.lit(1.0)
-    return joined.withColumn("reference_price", F.coalesce(resolved, fallback)).drop("_median", "_known")
-
-
-def concentration(df: DataFrame, column: str, alias: str) -> DataFrame:
+        known_prices = table.select("commodity", F.col("market_price").cast("double").alias("_known"))
+        levels, known = levels.join(known_prices, "commodity", "left"), _nonzero(F.col("_known"))
+    resolved = F.coalesce(known, _nonzero(F.col("_median")), _per_commodity(S.DEFAULT_MARKET_LEVEL)).alias("reference_price")
+    # Rows that nothing else covers take the median of the whole book; that pass runs only if there are any.
+    levels = levels.select("commodity", resolved)
+    missing = not levels.where(F.col("reference_price").isNull()).isEmpty()
+    fallback = F.lit(float((global_median() if missing else None) or 1.0))
+    return lookup_join(df, levels.where(F.col("commodity").isNotNull()), "commodity").withColumn(
+        "reference_price", F.coalesce("reference_price", fallback))
+
+
+def concentration(df: DataFrame, column: str, alias: str, counts: DataFrame | None = None) -> DataFrame:
     """``df`` plus how many times its fair share of rows each entity holds (1.0 = equal split)."""
     if column not in df.columns:
         return df.withColumn(alias, F.lit(0.0))
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_held"))
-    local = bounded_local(counts)
-    entities = (counts if local is None else local).agg(F.count("*")).scalar()
-    total = df.agg(F.count("*")).scalar()
+    plan, local = _counts_of(df, column, counts)
+    held = plan if local is None else local
+    entities = held.agg(F.count(column)).scalar()
+    total = held.agg(F.sum("_held")).scalar()
     ratio = F.try_divide(F.col("_held"), total) / F.try_divide(F.lit(1.0), entities)
-    return lookup_join(df, counts, column, local).withColumn(alias, F.coalesce(ratio, F.lit(0.0))).drop("_held")
+    known = F.col(column).isNotNull()
+    return (
+        lookup_join(df, plan.where(known), column, None if local is None else local.where(known))
+        .withColumn(alias, F.coalesce(ratio, F.lit(0.0))).drop("_held")
+    )
 
 
 def build_features(df: DataFrame, market_price: MarketPrice = None, keep: Sequence[str] = ()) -> DataFrame:
@@ -102,9 +126,10 @@ def build_features(df: DataFrame, market_price: MarketPrice = None, keep: Sequen
 
 def with_features(df: DataFrame, market_price: MarketPrice = None) -> DataFrame:
     """``df`` plus ``_features``, a struct of the nine doubles."""
-    out = reference_price(df, market_price)
-    out = concentration(out, "counterparty", "_cp_share")
-    out = concentration(out, "trader_id", "_tr_share")
+    counts = book_counts(df, [c for c in ("commodity", "counterparty", "trader_id") if c in df.columns])
+    out = reference_price(df, market_price, counts)
+    out = concentration(out, "counterparty", "_cp_share", counts)
+    out = concentration(out, "trader_id", "_tr_share", counts)
     volume, price, ref = number("volume_mw"), number("price_eur_mwh"), F.col("reference_price")
     deviation = F.try_divide(price - ref, F.abs(ref)) * 100.0
     if {"delivery_start", "delivery_end"} <= set(df.columns):
@@ -136,10 +161,20 @@ def long_features(features: DataFrame) -> DataFrame:
 
 def feature_baseline(features: DataFrame) -> DataFrame:
     """(feature, mean, std, median) over the training batch."""
-    moments = long_features(features).groupBy("feature").agg(
-        F.avg("value").alias("mean"), F.coalesce(F.stddev_samp("value"), F.lit(0.0)).alias("std")
-    )
-    return moments.join(exact_quantiles(long_features(features), "value", ["feature"], alias="median"), "feature")
+    rows = features.count()
+    direct = rows <= quantiles.DIRECT_LIMIT
+    entries = [
+        F.struct(
+            F.lit(f).alias("feature"), F.avg(f).alias("mean"), F.coalesce(F.stddev_samp(f), F.lit(0.0)).alias("std"),
+            *([F.percentile(f, F.lit(0.5)).alias("median")] if direct else []),
+        )
+        for f in S.FEATURES
+    ]
+    moments = features.agg(F.array(*entries).alias("all")).select(F.explode("all").alias("e")).select("e.*")
+    if direct:
+        return moments
+    sizes = features.sparkSession.createDataFrame([(f, rows) for f in S.FEATURES], "feature string, _n bigint")
+    return moments.join(quantiles.exact_quantiles(long_features(features), "value", ["feature"], alias="median", sizes=sizes), "feature")
 
 
 def feature_means(features: DataFrame) -> DataFrame:

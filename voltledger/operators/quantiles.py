@@ -27,10 +27,14 @@ def exact_quantiles(
     by: Sequence[str] = (),
     p: float = 0.5,
     alias: str = "quantile",
+    sizes: DataFrame | None = None,
     direct_limit: int | None = None,
     bins: int | None = None,
 ) -> DataFrame:
-    """Linear-interpolated quantile of ``value`` per group; null, NaN and null keys are left out."""
+    """Linear-interpolated quantile of ``value`` per group; null, NaN and null keys are left out.
+
+    ``sizes`` (keys..., ``_n`` values) saves a pass where the caller has counted already.
+    """
     direct_limit = DIRECT_LIMIT if direct_limit is None else direct_limit
     bins = BINS if bins is None else bins
     keys = list(by)
@@ -39,9 +43,10 @@ def exact_quantiles(
     for k in keys:
         data = data.where(F.col(k).isNotNull())
 
-    sizes = data.groupBy(*keys).agg(F.count("_x").alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+    if sizes is None:
+        sizes = data.groupBy(*keys).agg(F.count("_x").alias("_n"))
     # At most (all rows / direct_limit) groups can be this large.
-    large = sizes.where(F.col("_n") > direct_limit).collect()
+    large = sizes.where(F.col("_n") > direct_limit).select(*keys).collect()
     direct = F.percentile("_x", F.lit(p)).alias(alias)
     if not large:
         return data.groupBy(*keys).agg(direct)
@@ -60,7 +65,12 @@ def exact_quantiles(
 def _narrow(data, keys, groups, p, direct_limit, bins):
     """Solve the given groups; returns rows (key..., quantile)."""
     open_, done = {}, {}
-    for g in groups:
+    part = data
+    if keys:
+        few = data.sparkSession.createDataFrame(groups, T.StructType([data.schema[k] for k in keys]))
+        part = data.join(F.broadcast(few), keys, "left_semi")
+    ends = part.groupBy(*keys).agg(F.count("_x").alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+    for g in ends.collect():
         rank = (g["_n"] - 1) * p
         open_[tuple(g[k] for k in keys)] = {
             "lo": g["_lo"], "hi": g["_hi"], "n": g["_n"],

@@ -7,8 +7,10 @@ the executors that made it, keeps column pruning and carries real size statistic
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +18,20 @@ from pyspark.sql import DataFrame, SparkSession
 _local_fallback: dict[str, str] = {}
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, once per application."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        root = Path(__file__).resolve().parent
+        archive = shutil.make_archive(
+            str(Path(tempfile.mkdtemp(prefix="voltledger-ship-")) / root.name), "zip", root.parent, root.name)
+        spark.sparkContext.addPyFile(archive)
+        _shipped.add(app)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared scratch folder of this application."""
     app = spark.sparkContext.applicationId

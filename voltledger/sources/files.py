@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from voltledger import settings as S
 from voltledger.operators.scan import document_summary, scan_documents
+from voltledger.session import ship_package
 
 # Up to this size a file is hashed as one value; larger ones are streamed.
 INLINE_BYTES = 64 * 1024 * 1024
@@ -42,6 +43,7 @@ def _streamed_sha256(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def fingerprints(spark: SparkSession, path: str, inline_bytes: int = INLINE_BYTES) -> DataFrame:
     """(file, bytes, sha256) of every file below ``path``."""
+    ship_package(spark)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     small = files.where(F.col("length") <= inline_bytes).select(
         F.col("path").alias("file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")

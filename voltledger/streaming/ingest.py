@@ -16,16 +16,19 @@ from voltledger.operators.scan import ContentThreat
 from voltledger.plans.medallion import IngestionBlocked, secure_ingest
 
 
-def read_payload_stream(spark: SparkSession, source: str, files_per_batch: int = 1) -> DataFrame:
+def read_payload_stream(
+    spark: SparkSession, source: str, files_per_batch: int = 1, whole_files: bool = True
+) -> DataFrame:
+    """Arriving JSON texts: one per file, or one per line where files are large."""
     return (
-        spark.readStream.format("text").option("wholetext", True).option("maxFilesPerTrigger", files_per_batch)
+        spark.readStream.format("text").option("wholetext", whole_files).option("maxFilesPerTrigger", files_per_batch)
         .load(source).select(F.col("_metadata.file_path").alias("file"), F.make_valid_utf8("value").alias("json"))
     )
 
 
 def stream_ingest(
     spark: SparkSession, source: str, out: str, checkpoint: str,
-    contract: Contract = MARKET_PRICES, on_block: str = "fail",
+    contract: Contract = MARKET_PRICES, on_block: str = "fail", whole_files: bool = True,
 ) -> StreamingQuery:
     """Start the stream over what is there now.
 
@@ -47,7 +50,7 @@ def stream_ingest(
                 f"{out}/blocked/batch_id={batch_id}")
 
     return (
-        read_payload_stream(spark, source).writeStream.foreachBatch(land)
+        read_payload_stream(spark, source, whole_files=whole_files).writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
 
