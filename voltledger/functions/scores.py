@@ -27,15 +27,13 @@ def sigma_shift(value: Column, mean: Column, std: Column) -> Column:
     return F.least(distance, F.lit(S.SIGMA_CAP))
 
 
-def describe(feature: Column, value: Column, mean: Column, std: Column) -> Column:
+def describe(feature: Column, value: Column, shift: Column, mean: Column, std: Column) -> Column:
     """One readable sentence on why a value stands out."""
     never_seen = F.concat(
         feature, F.lit(" = "), general_number(value), F.lit(", a value never seen in normal trading (constant "),
-        general_number(F.coalesce(mean, F.lit(0.0))), F.lit(" during training)"),
-    )
-    far_off = F.concat(
-        feature, F.lit(" is "), one_decimal(sigma_shift(value, mean, std)), F.lit(" sigma from normal")
+        general_number(mean), F.lit(" during training)"),
     )
+    far_off = F.concat(feature, F.lit(" is "), one_decimal(shift), F.lit(" sigma from normal"))
     return F.when(was_constant(std), never_seen).otherwise(far_off)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DIRECT_LIMIT = 1_000_000
+DIRECT_LIMIT = 250_000
 BINS = 2048
 GROUPS_PER_PASS = 256
 

@@ -51,29 +51,32 @@ def score(trades: DataFrame, model: Model, market_price: MarketPrice = None) ->
     Valued trades carry their market price, so without an explicit one it is taken per
     commodity from there.
     """
+    return rate(raw_scores(trades, model, market_price), model)
+
+
+def raw_scores(trades: DataFrame, model: Model, market_price: MarketPrice = None) -> DataFrame:
+    """Trades with ``_features`` and the forest's ``_raw`` score, written once: the range of
+    the scores, the rated table and the drift report all read it."""
     if market_price is None and {"effective_market_price", "commodity"} <= set(trades.columns):
         market_price = commodity_market_prices(trades)
-    spark = trades.sparkSession
-    featured = with_features(trades, market_price)
-    names = {f: F.col(f"_features.{f}") for f in S.FEATURES}
     # Python sees the nine doubles only; the trade's other columns stay in the JVM.
-    flat = featured.withColumns({f"_f_{f}": c for f, c in names.items()})
-    raw = score_column(spark, model.forest, [f"_f_{f}" for f in S.FEATURES])
-    scored = stage(flat.withColumn("_raw", raw).drop(*[f"_f_{f}" for f in S.FEATURES]), "scored")
+    flat = {f"_f_{f}": F.col(f"_features.{f}") for f in S.FEATURES}
+    featured = with_features(trades, market_price).withColumns(flat)
+    raw = score_column(trades.sparkSession, model.forest, list(flat))
+    return stage(featured.withColumn("_raw", raw).drop(*flat), "scored")
+
+
+def rate(scored: DataFrame, model: Model) -> DataFrame:
+    """Raw scores to risk relative to the batch, flag, band and reason."""
     ends = scored.agg(F.struct(F.min("_raw").alias("lo"), F.max("_raw").alias("hi")).alias("ends"))
-    risk = relative_risk(F.col("_raw"), ends.scalar())
-    reason = top_reason({f: F.col(f"_features.{f}") for f in S.FEATURES}, baseline_rows(model.baseline))
-    return (
-        scored.withColumn("_risk", risk)
-        .withColumns({
-            "anomaly_score": F.bround("_risk", 4),
-            "is_anomaly": F.col("_raw") < F.lit(model.forest.offset),
-            "risk_band": X.risk_band(F.col("_risk")),
-            "model_version": F.lit(model.forest.trained_at),
-            "top_reason": reason,
-        })
-        .drop("_risk", "_raw", "_features")
-    )
+    rated = scored.withColumn("_risk", relative_risk(F.col("_raw"), ends.scalar())).withColumns({
+        "anomaly_score": F.bround("_risk", 4),
+        "is_anomaly": F.col("_raw") < F.lit(model.forest.offset),
+        "risk_band": X.risk_band(F.col("_risk")),
+        "model_version": F.lit(model.forest.trained_at),
+    })
+    values = {f: F.col(f"_features.{f}") for f in S.FEATURES}
+    return with_top_reason(rated, values, baseline_rows(model.baseline)).drop("_risk", "_raw", "_features")
 
 
 def relative_risk(raw: Column, ends: Column) -> Column:
@@ -88,24 +91,29 @@ def baseline_rows(baseline: DataFrame) -> dict[str, Mapping[str, float]]:
     return {r["feature"]: r.asDict() for r in rows}
 
 
-def top_reason(values: Mapping[str, Column], baseline: Mapping[str, Mapping[str, float]]) -> Column:
-    """The feature farthest from its baseline, in words; of equal ones the first in feature order."""
+def with_top_reason(
+    df: DataFrame, values: Mapping[str, Column], baseline: Mapping[str, Mapping[str, float]], alias: str = "top_reason"
+) -> DataFrame:
+    """``df`` plus the feature farthest from its baseline, in words; of equal ones the first in feature order."""
     entries = []
     for order, name in enumerate(S.FEATURES):
         base = baseline.get(name)
         if base is None:
             continue
-        mean, std = F.lit(base["mean"]).cast("double"), F.lit(base["std"]).cast("double")
+        mean, std = (F.lit(float(base[k] or 0.0)) for k in ("mean", "std"))
         entries.append(F.struct(
             X.sigma_shift(values[name], mean, std).alias("shift"), F.lit(-order).alias("rank"),
             F.lit(name).alias("name"), values[name].alias("value"), mean.alias("mean"), std.alias("std"),
         ))
     if not entries:
-        return F.lit(NO_REASON)
-    worst = F.array_max(F.array(*entries))
-    return F.when(
-        worst["shift"] > 0, X.describe(worst["name"], worst["value"], worst["mean"], worst["std"])
-    ).otherwise(F.lit(NO_REASON))
+        return df.withColumn(alias, F.lit(NO_REASON))
+    # A column of its own: the sentence refers to it many times, the search runs once.
+    worst = {c: F.col(f"_worst.{c}") for c in ("name", "value", "shift", "mean", "std")}
+    reason = F.when(F.col("_worst.shift") > 0, X.describe(*(worst[c] for c in ("name", "value", "shift", "mean", "std"))))
+    return (
+        df.withColumn("_worst", F.array_max(F.array(*entries)))
+        .withColumn(alias, reason.otherwise(F.lit(NO_REASON))).drop("_worst")
+    )
 
 
 def drift_report(features: DataFrame, baseline: DataFrame, threshold: float = S.DRIFT_SIGMA) -> DataFrame:

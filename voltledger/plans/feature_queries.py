@@ -86,7 +86,7 @@ def top_reason(spark, sf_dir):
     trades = _silver(spark, sf_dir)
     base = surveillance.baseline_rows(X.feature_baseline(stage(X.build_features(trades), "features")))
     live = X.build_features(trades, LIVE_PRICES, keep=["trade_id"])
-    return live.select("trade_id", surveillance.top_reason({f: F.col(f) for f in S.FEATURES}, base).alias("top_reason"))
+    return surveillance.with_top_reason(live, {f: F.col(f) for f in S.FEATURES}, base).select("trade_id", "top_reason")
 
 
 @query(Q.with_(Q.PNL, """SELECT 'ALL' AS book, CAST(median(CAST(market AS DOUBLE)) AS DOUBLE) AS market_price FROM pnl

@@ -72,7 +72,7 @@ def trade_gate_verdict(spark, sf_dir):
     return gates.batch_verdict(gates.route(M.raw_trades(spark, sf_dir), M.MAPPED_TRADES), "trades")
 
 
-@query(Q.with_(_RAW_ROUTED, "SELECT trade_id, trader_id, CAST(volume_mw AS VARCHAR) AS volume_mw, array_to_string(failed, '|') AS failed_checks FROM routed WHERE len(failed) > 0"))
+@query(Q.with_(_RAW_ROUTED, "SELECT trade_id, trader_id, CAST(CAST(volume_mw AS DOUBLE) AS VARCHAR) AS volume_mw, array_to_string(failed, '|') AS failed_checks FROM routed WHERE len(failed) > 0"))
 def quarantined_trades(spark, sf_dir):
     """Rejected rows as the quarantine keeps them."""
     rejected = gates.quarantined_rows(gates.route(M.raw_trades(spark, sf_dir), M.MAPPED_TRADES))
@@ -143,7 +143,7 @@ out AS (SELECT count(*) FILTER (dev / scale > 5.0) AS n, max(x) AS hi, min(x) AS
 
 
 @query(Q.with_(_REPORT, """SELECT 'run' AS batch_source, true AS overall_passed, 'market_prices' AS gate, true AS passed,
-  (SELECT count(*) FROM events) AS rows_clean, 0 AS rows_quarantined,
+  (SELECT count(*) FROM events) AS rows_clean, CAST(0 AS BIGINT) AS rows_quarantined,
   (SELECT printf('%d statistical outlier(s) in ''price_eur_mwh'' (robust z > 5.0; worst value %.2f, median %.2f) - possible data poisoning, review before trusting', n, round(CAST(hi AS DECIMAL(18,6)), 2), round(CAST(med AS DECIMAL(18,6)), 2)) FROM out) AS findings
 UNION ALL SELECT 'run', true, 'trades', true, (SELECT count(*) FROM silver), 0, ''"""))
 def quality_report(spark, sf_dir):

@@ -35,7 +35,7 @@ def raw_trades(spark: SparkSession, sf_dir: str, extra: Sequence[str] = ()) -> D
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey).join(
         customers.select("c_custkey", "c_name"), orders.o_custkey == customers.c_custkey)
     start = F.col("l_shipdate").cast("timestamp")
-    hours = F.get(F.array(*[F.lit(h) for h in (1, 4, 12, 24)]), F.col("l_linenumber") % 4)
+    hours = F.get(F.array(*[F.lit(h).cast("bigint") for h in (1, 4, 12, 24)]), F.col("l_linenumber") % 4)
     number = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string")
     return joined.select(
         F.concat(F.lit("TRD-"), F.lpad(number, 8, "0")).alias("trade_id"),
@@ -43,10 +43,11 @@ def raw_trades(spark: SparkSession, sf_dir: str, extra: Sequence[str] = ()) -> D
         F.replace("c_name", F.lit("#"), F.lit("_")).alias("counterparty"),
         F.when(F.col("l_partkey") % 2 == 0, "POWER").otherwise("NATURAL_GAS").alias("commodity"),
         F.when(F.col("l_linestatus") == "O", "BUY").otherwise("SELL").alias("buy_sell"),
-        F.col("l_quantity").cast("decimal(18,2)").alias("volume_mw"),
-        (F.col("l_extendedprice").cast("decimal(18,2)") / 1000).cast("decimal(18,5)").alias("price_eur_mwh"),
+        F.col("l_quantity").alias("volume_mw"),
+        # Whole cents over 100 000: the double nearest to the exact five-decimal price.
+        (F.rint(F.col("l_extendedprice") * 100) / 100_000).alias("price_eur_mwh"),
         start.alias("delivery_start"),
-        (start + F.make_dt_interval(F.lit(0), hours)).alias("delivery_end"),
+        F.timestamp_micros(F.unix_micros(start) + hours * 3_600_000_000).alias("delivery_end"),
         F.col("o_orderdate").cast("timestamp").alias("created_at"),
         *extra,
     )

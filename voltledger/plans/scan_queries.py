@@ -101,7 +101,7 @@ def nested_scan(spark, sf_dir):
     return scan.scan_documents(_nested_pages(spark, sf_dir), ["page_id"], "json").drop("snippet")
 
 
-@query(f"SELECT page_id, 10 AS strings_checked, CAST(len({_hits('html')}) + 2 * len({_hits('url')}) AS BIGINT) AS threats, len({_hits('html')}) + 2 * len({_hits('url')}) = 0 AS clean FROM pages")
+@query(f"SELECT page_id, CAST(10 AS BIGINT) AS strings_checked, CAST(len({_hits('html')}) + 2 * len({_hits('url')}) AS BIGINT) AS threats, len({_hits('html')}) + 2 * len({_hits('url')}) = 0 AS clean FROM pages")
 def document_verdicts(spark, sf_dir):
     return scan.document_summary(_nested_pages(spark, sf_dir), ["page_id"], "json")
 

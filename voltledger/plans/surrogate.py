@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from voltledger import settings as S
 from voltledger.functions import scores as X
 from voltledger.operators.features import feature_baseline, with_features
-from voltledger.operators.surveillance import baseline_rows, relative_risk, top_reason
+from voltledger.operators.surveillance import baseline_rows, relative_risk, with_top_reason
 from voltledger.plans.market_tables import silver_trades
 from voltledger.session import stage
 
@@ -27,10 +27,11 @@ def surrogate_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     shifted = featured.withColumn("_s", sigma)
     # Relative risk ranks low raw values highest, hence the sign.
     ends = shifted.agg(F.struct(F.min(-F.col("_s")).alias("lo"), F.max(-F.col("_s")).alias("hi")).alias("e"))
-    reason = top_reason({f: F.col(f"_features.{f}") for f in S.FEATURES}, base)
+    rated = shifted.withColumn("_risk", relative_risk(-F.col("_s"), ends.scalar()))
     risk = F.col("_risk")
-    return shifted.withColumn("_risk", relative_risk(-F.col("_s"), ends.scalar())).select(
+    reasoned = with_top_reason(rated, {f: F.col(f"_features.{f}") for f in S.FEATURES}, base)
+    return reasoned.select(
         "trade_id", "counterparty", "commodity", "buy_sell", "volume_mw", "price_eur_mwh",
         F.bround(risk, 4).alias("anomaly_score"), (F.col("_s") > FLAG_SIGMA).alias("is_anomaly"),
-        X.risk_band(risk).alias("risk_band"), reason.alias("top_reason"),
+        X.risk_band(risk).alias("risk_band"), "top_reason",
     )
