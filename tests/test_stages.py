@@ -1,0 +1,119 @@
+"""Whole stages on small batches, and the stream form."""
+
+import datetime as dt
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+import books
+from voltledger.operators import serving
+from voltledger.operators.scan import ContentThreat
+from voltledger.plans import medallion
+from voltledger.sources import sinks
+from voltledger.sources.bronze import read_verified
+from voltledger.streaming.ingest import landed_prices, stream_ingest
+
+START = 1786312800000
+
+
+def payload(prices, start=START, **more):
+    return json.dumps({"market": "EPEX", "commodity": "POWER", "currency": "EUR", "unit": "MWh",
+                       "series": [{"timestamp_ms": start + i * 3600000, "price_eur_mwh": p} for i, p in enumerate(prices)], **more})
+
+
+def payloads(spark, *texts):
+    return spark.createDataFrame([(f"f{i}", t) for i, t in enumerate(texts)], "file string, json string")
+
+
+def test_ingest_lands_clean_rows_with_audit_and_keeps_rejects(spark, tmp_path):
+    out = str(tmp_path)
+    result = medallion.secure_ingest(payloads(spark, payload([80.0] * 48 + [99999.0, -9999.0])), out, "20260819_000000")
+    landed = read_verified(spark, f"{out}/1_bronze")
+    assert landed.count() == 48
+    audit = landed.first().security
+    assert (audit.injection_scan, audit.rows_accepted, audit.rows_quarantined) == ("clean", 48, 2)
+    assert spark.read.parquet(result.quarantine).count() == 2
+    report = json.loads(sinks.read_reports(spark, f"{out}/reports").first().report)
+    assert report["overall_passed"] and report["gates"][0]["rows_clean"] == 48 and len(report["gates"][0]["findings"]) == 2
+
+
+def test_ingest_blocks_on_a_threat_before_anything_is_written(spark, tmp_path):
+    with pytest.raises(ContentThreat):
+        medallion.secure_ingest(payloads(spark, payload([80.0], note="'; DROP TABLE x;--")), str(tmp_path), "s")
+    assert not list(tmp_path.iterdir())
+
+
+def test_refused_batch_leaves_a_report_but_lands_nothing(spark, tmp_path):
+    out = str(tmp_path)
+    with pytest.raises(medallion.IngestionBlocked, match="quality gate failed"):
+        medallion.secure_ingest(payloads(spark, payload([80.0] * 10 + [80000.0] * 40)), out, "s")
+    assert not json.loads(sinks.read_reports(spark, f"{out}/reports").first().report)["overall_passed"]
+    assert not (tmp_path / "1_bronze").exists() and (tmp_path / "quarantine").exists()
+    with pytest.raises(medallion.IngestionBlocked, match="no price series"):
+        medallion.secure_ingest(payloads(spark, payload([])), out, "s")
+
+
+def test_trade_gate_blocks_hostile_and_mostly_broken_books(spark, tmp_path):
+    book = books.frame(spark, books.rows(30, 1))
+    with pytest.raises(ContentThreat):
+        medallion.trade_gate(book.withColumn("counterparty", F.lit("x' UNION SELECT 1")), str(tmp_path), "s")
+    with pytest.raises(medallion.IngestionBlocked):
+        medallion.trade_gate(book.withColumn("volume_mw", F.lit(-1.0)), str(tmp_path), "s")
+
+
+def test_full_run(spark, tmp_path):
+    out = str(tmp_path)
+    bad = books.rows(1, 9)[0]
+    raw = books.frame(spark, books.rows(200, 2) + [("TRD-00900", *bad[1:3], "CRUDE_OIL", *bad[4:])])
+    prices = payload([80.0 + i % 7 for i in range(48)])
+    first = {r.measure: r.value for r in medallion.run_all(spark, payloads(spark, prices), raw, out, "20260819_000000").collect()}
+    assert first["market rows accepted"] == 48 and first["trades accepted"] == 200 and first["trades quarantined"] == 1
+    assert first["trades scored"] == 200
+    # The rejected trade does not reach Silver or Gold.
+    assert spark.read.parquet(f"{out}/2_silver/trades").where("commodity = 'CRUDE_OIL'").isEmpty()
+    summary = spark.read.parquet(f"{out}/3_gold/portfolio_summary").collect()
+    assert sum(r.total_trades for r in summary) == 200
+    scored = spark.read.parquet(f"{out}/3_gold/trade_surveillance")
+    assert {"scored_at", "top_reason", "model_version", "unrealized_pnl_eur"} <= set(scored.columns)
+    assert scored.select("model_version").distinct().first()[0] == "20260819_000000"
+    rows, _ = serving.query_data(spark, out, "SELECT risk_band, count(*) AS n FROM trade_surveillance GROUP BY risk_band")
+    assert sum(r.n for r in rows.collect()) == 200
+    kinds = {r.kind for r in serving.latest_reports(sinks.read_reports(spark, f"{out}/reports")).collect()}
+    assert kinds == {"quality", "drift"}
+    # A second run keeps the trained model.
+    again = medallion.train_if_missing_and_score(spark, out, "20260820_000000")
+    assert again.select("model_version").distinct().first()[0] == "20260819_000000"
+
+
+def test_stream_equals_batch_and_resumes(spark, tmp_path):
+    src, out, ckpt = (str(tmp_path / d) for d in ("in", "out", "ckpt"))
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text(payload([80.0, 81.0]))
+    (tmp_path / "in" / "b.json").write_text(payload([90.0, 91.0], START + 3600000))
+    stream_ingest(spark, src, out, ckpt).awaitTermination()
+    assert read_verified(spark, f"{out}/1_bronze").count() == 4
+    (tmp_path / "in" / "c.json").write_text(payload([70.0], START + 10 * 3600000))
+    stream_ingest(spark, src, out, ckpt).awaitTermination()
+    landed = read_verified(spark, f"{out}/1_bronze")
+    assert landed.count() == 5 and landed.select("ingest_stamp").distinct().count() == 3
+    # A timestamp delivered twice counts once, with the newest price.
+    latest = {r.timestamp_ms: r.price_eur_mwh for r in landed_prices(landed).collect()}
+    assert len(latest) == 4 and latest[START + 3600000] in (81.0, 90.0)
+
+
+def test_stream_fails_or_records_refused_files(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "bad.json").write_text(payload([80.0], note="<script>"))
+    (tmp_path / "in" / "good.json").write_text(payload([80.0]))
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    with pytest.raises(Exception, match="rejected"):
+        stream_ingest(spark, src, out, str(tmp_path / "c1")).awaitTermination()
+    stream_ingest(spark, src, out, str(tmp_path / "c2"), on_block="record").awaitTermination()
+    assert read_verified(spark, f"{out}/1_bronze").count() == 1
+    (blocked,) = spark.read.parquet(f"{out}/blocked").collect()
+    assert blocked.file.endswith("bad.json") and "HTML/JS script tag" in blocked.reason
+
+
+def test_dates_of_the_fixture():
+    assert dt.datetime.fromtimestamp(START / 1000, dt.UTC).year == 2026

@@ -49,6 +49,8 @@ def _nonzero(c: Column) -> Column:
 
 def book_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame | None:
     """(column, entity, rows) for all ``columns`` in one pass, nulls included; None if too many entities."""
+    if not columns:
+        return None
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("entity")) for c in columns])
     counted = df.select(F.explode(pairs).alias("e")).groupBy("e.column", "e.entity").agg(F.count("*").alias("rows"))
     return bounded_local(counted)

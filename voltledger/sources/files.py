@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator, Mapping
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +33,8 @@ def _streamed_sha256(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         digests = []
         for path in batch["file"]:
-            system, inner = fs.FileSystem.from_uri(path if "://" in path else path.replace("file:", "file://", 1))
+            uri = quote(path if "://" in path else path.replace("file:", "file://", 1), safe="/:@")
+            system, inner = fs.FileSystem.from_uri(uri)
             digest = hashlib.sha256()
             with system.open_input_stream(inner) as stream:
                 while chunk := stream.read(CHUNK_BYTES):
