@@ -155,28 +155,30 @@ def with_features(df: DataFrame, market_price: MarketPrice = None) -> DataFrame:
 
 
 def long_features(features: DataFrame) -> DataFrame:
-    """(feature, value) rows."""
-    return features.select(
-        F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("value")) for f in S.FEATURES])).alias("e")
-    ).select("e.*")
+    """(feature number, value) rows."""
+    pairs = F.array(*[F.struct(F.lit(i).alias("feature"), F.col(f).alias("value")) for i, f in enumerate(S.FEATURES)])
+    return features.select(F.explode(pairs).alias("e")).select("e.*")
 
 
 def feature_baseline(features: DataFrame) -> DataFrame:
     """(feature, mean, std, median) over the training batch."""
-    rows = features.count()
-    direct = rows <= quantiles.DIRECT_LIMIT
+    direct = features.count() <= quantiles.DIRECT_LIMIT
+    ends = ("_n", F.count), ("_lo", F.min), ("_hi", F.max)
     entries = [
         F.struct(
-            F.lit(f).alias("feature"), F.avg(f).alias("mean"), F.coalesce(F.stddev_samp(f), F.lit(0.0)).alias("std"),
-            *([F.percentile(f, F.lit(0.5)).alias("median")] if direct else []),
+            F.lit(i).alias("_f"), F.lit(f).alias("feature"),
+            F.avg(f).alias("mean"), F.coalesce(F.stddev_samp(f), F.lit(0.0)).alias("std"),
+            *([F.percentile(f, F.lit(0.5)).alias("median")] if direct else [fn(f).alias(n) for n, fn in ends]),
         )
-        for f in S.FEATURES
+        for i, f in enumerate(S.FEATURES)
     ]
     moments = features.agg(F.array(*entries).alias("all")).select(F.explode("all").alias("e")).select("e.*")
     if direct:
-        return moments
-    sizes = features.sparkSession.createDataFrame([(f, rows) for f in S.FEATURES], "feature string, _n bigint")
-    return moments.join(quantiles.exact_quantiles(long_features(features), "value", ["feature"], alias="median", sizes=sizes), "feature")
+        return moments.drop("_f")
+    moments = bounded_local(moments)  # nine rows
+    sizes = moments.select(F.col("_f").alias("feature"), "_n", "_lo", "_hi")
+    medians = quantiles.exact_quantiles(long_features(features), "value", ["feature"], alias="median", sizes=sizes)
+    return moments.join(medians.withColumnRenamed("feature", "_f"), "_f").select("feature", "mean", "std", "median")
 
 
 def feature_means(features: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DIRECT_LIMIT = 250_000
+DIRECT_LIMIT = 50_000
 BINS = 2048
 GROUPS_PER_PASS = 256
 
@@ -33,7 +33,8 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linear-interpolated quantile of ``value`` per group; null, NaN and null keys are left out.
 
-    ``sizes`` (keys..., ``_n`` values) saves a pass where the caller has counted already.
+    ``sizes`` (keys..., ``_n`` values, and if known their ``_lo`` and ``_hi``) saves passes
+    where the caller has counted already.
     """
     direct_limit = DIRECT_LIMIT if direct_limit is None else direct_limit
     bins = BINS if bins is None else bins
@@ -46,7 +47,7 @@ def exact_quantiles(
     if sizes is None:
         sizes = data.groupBy(*keys).agg(F.count("_x").alias("_n"))
     # At most (all rows / direct_limit) groups can be this large.
-    large = sizes.where(F.col("_n") > direct_limit).select(*keys).collect()
+    large = sizes.where(F.col("_n") > direct_limit).collect()
     direct = F.percentile("_x", F.lit(p)).alias(alias)
     if not large:
         return data.groupBy(*keys).agg(direct)
@@ -65,12 +66,15 @@ def exact_quantiles(
 def _narrow(data, keys, groups, p, direct_limit, bins):
     """Solve the given groups; returns rows (key..., quantile)."""
     open_, done = {}, {}
-    part = data
-    if keys:
-        few = data.sparkSession.createDataFrame(groups, T.StructType([data.schema[k] for k in keys]))
-        part = data.join(F.broadcast(few), keys, "left_semi")
-    ends = part.groupBy(*keys).agg(F.count("_x").alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
-    for g in ends.collect():
+    if "_lo" not in groups[0]:
+        part = data
+        if keys:
+            few = data.sparkSession.createDataFrame(
+                [tuple(g[k] for k in keys) for g in groups], T.StructType([data.schema[k] for k in keys]))
+            part = data.join(F.broadcast(few), keys, "left_semi")
+        groups = part.groupBy(*keys).agg(
+            F.count("_x").alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi")).collect()
+    for g in groups:
         rank = (g["_n"] - 1) * p
         open_[tuple(g[k] for k in keys)] = {
             "lo": g["_lo"], "hi": g["_hi"], "n": g["_n"],
@@ -98,31 +102,40 @@ def _narrow(data, keys, groups, p, direct_limit, bins):
     return [(*g, q) for g, q in done.items()]
 
 
+def _scale(x: float) -> float:
+    """A log-like scale, so that a far outlier cannot swallow the range of the bins."""
+    return math.copysign(math.log1p(abs(x)), x)
+
+
 def _ranges(data, keys, states):
-    """Rows of ``data`` inside the current range of their group, with that range attached."""
+    """Rows of ``data`` inside the current range of their group, with that range attached.
+
+    ``_from`` and ``_width`` are the range on the log-like scale; the width is null where
+    that scale cannot tell the ends apart.
+    """
+    def bounds(s):
+        width = _scale(s["hi"]) - _scale(s["lo"])
+        usable = width > max(abs(_scale(s["lo"])), abs(_scale(s["hi"]))) * 1e-12
+        return s["lo"], s["hi"], _scale(s["lo"]), width if usable else None
+
+    names = ("_lo", "_hi", "_from", "_width")
     if not keys:
         (state,) = states.values()
-        return data.where(F.col("_x").between(state["lo"], state["hi"])).select(
-            "_x", F.lit(state["lo"]).alias("_lo"), F.lit(state["hi"]).alias("_hi"))
-    schema = T.StructType([data.schema[k] for k in keys]
-                          + [T.StructField(c, T.DoubleType()) for c in ("_lo", "_hi")])
-    table = data.sparkSession.createDataFrame([(*g, s["lo"], s["hi"]) for g, s in states.items()], schema)
+        literals = [F.lit(v).cast("double").alias(n) for n, v in zip(names, bounds(state))]
+        return data.where(F.col("_x").between(state["lo"], state["hi"])).select("_x", *literals)
+    schema = T.StructType([data.schema[k] for k in keys] + [T.StructField(c, T.DoubleType()) for c in names])
+    table = data.sparkSession.createDataFrame([(*g, *bounds(s)) for g, s in states.items()], schema)
     return data.join(F.broadcast(table), keys).where(F.col("_x").between(F.col("_lo"), F.col("_hi")))
 
 
 def _count_bins(data, keys, states, bins):
     """Per group the occupied bins in value order as (rows, min, max)."""
-    # Bins are even in a log-like scale so a far outlier cannot swallow the range;
-    # where that scale cannot tell the ends apart, plain even bins take over.
-    def scale(c):
-        return F.signum(c) * F.log1p(F.abs(c))
-
     x, lo, hi = F.col("_x"), F.col("_lo"), F.col("_hi")
+    logged = (F.signum(x) * F.log1p(F.abs(x)) - F.col("_from")) / F.col("_width")
     even = (x / 2 - lo / 2) / (hi / 2 - lo / 2)
-    logged = (scale(x) - scale(lo)) / F.nullif(scale(hi) - scale(lo), F.lit(0.0))
-    usable = scale(hi) - scale(lo) > F.greatest(F.abs(scale(lo)), F.abs(scale(hi))) * 1e-12
-    at = F.when(lo == x, 0.0).when(hi == x, 1.0).when(usable, logged).otherwise(even)
-    bin_ = F.least(F.floor(at * bins), F.lit(bins - 1)).alias("_bin")
+    # The ends are placed by comparison, so each pass is sure to shrink the range.
+    at = F.when(x == lo, 0.0).when(x == hi, 1.0).when(F.col("_width").isNotNull(), logged).otherwise(even)
+    bin_ = F.greatest(F.lit(0), F.least(F.floor(at * bins), F.lit(bins - 1))).alias("_bin")
     rows = (
         _ranges(data, keys, states).select(*keys, "_x", bin_)
         .groupBy(*keys, "_bin")

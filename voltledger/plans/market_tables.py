@@ -83,5 +83,7 @@ def unit_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def valued_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return value_trades(silver_trades(spark, sf_dir), latest_price(market_prices(spark, sf_dir)))
+def valued_trades(spark: SparkSession, sf_dir: str, trades: DataFrame | None = None) -> DataFrame:
+    """Silver trades (mapped here unless given) at the newest market price."""
+    trades = silver_trades(spark, sf_dir) if trades is None else trades
+    return value_trades(trades, latest_price(market_prices(spark, sf_dir)))

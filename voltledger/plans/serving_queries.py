@@ -69,8 +69,9 @@ CAST(sum(CAST(portfolio_notional_eur AS DECIMAL(28,2))) AS DOUBLE) AS portfolio_
 CAST(sum(CAST(total_portfolio_pnl_eur AS DECIMAL(28,2))) AS DOUBLE) AS total_portfolio_pnl_eur,
 (SELECT count(*) FROM scored WHERE is_anomaly) AS alerts FROM portfolio"""))
 def kpi_row(spark, sf_dir):
-    portfolio = gold.portfolio_summary(M.valued_trades(spark, sf_dir))
-    return serving.kpi_row(portfolio, surrogate_scored(spark, sf_dir))
+    trades = stage(M.silver_trades(spark, sf_dir), "silver")
+    portfolio = gold.portfolio_summary(M.valued_trades(spark, sf_dir, trades))
+    return serving.kpi_row(portfolio, surrogate_scored(spark, sf_dir, trades))
 
 
 @query(Q.with_(Q.SILVER, "SELECT counterparty, count(*) AS n, (SELECT count(DISTINCT counterparty) FROM silver) AS entities FROM silver GROUP BY counterparty"))
@@ -144,5 +145,6 @@ UNION ALL SELECT 'surveillance alerts', (SELECT count(*) FROM scored WHERE is_an
 UNION ALL SELECT 'alert rate', (SELECT round(count(*) FILTER (is_anomaly) / count(*), 4) FROM scored)"""))
 def run_summary(spark, sf_dir):
     market = gates.batch_verdict(gates.route(M.price_series(spark, sf_dir), gates.MARKET_PRICES), "market_prices")
-    trades = gates.batch_verdict(gates.route(M.raw_trades(spark, sf_dir), M.MAPPED_TRADES), "trades")
+    extract = stage(M.raw_trades(spark, sf_dir), "extract")
+    trades = gates.batch_verdict(gates.route(extract, M.MAPPED_TRADES), "trades")
     return serving.run_summary(market, trades, surveillance.alert_rate(surrogate_scored(spark, sf_dir)))

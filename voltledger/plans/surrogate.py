@@ -19,8 +19,10 @@ from voltledger.session import stage
 FLAG_SIGMA = 1.6
 
 
-def surrogate_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    featured = stage(with_features(stage(silver_trades(spark, sf_dir), "silver")), "featured")
+def surrogate_scored(spark: SparkSession, sf_dir: str, trades: DataFrame | None = None) -> DataFrame:
+    """Scored Silver trades; ``trades`` is the staged Silver table where the caller has it."""
+    trades = stage(silver_trades(spark, sf_dir), "silver") if trades is None else trades
+    featured = stage(with_features(trades), "featured")
     base = baseline_rows(feature_baseline(featured.select("_features.*")))
     own = base["price_deviation_pct"]
     sigma = X.sigma_shift(F.col("_features.price_deviation_pct"), F.lit(own["mean"]), F.lit(own["std"]))
