@@ -162,7 +162,9 @@ def long_features(features: DataFrame) -> DataFrame:
 
 def feature_baseline(features: DataFrame) -> DataFrame:
     """(feature, mean, std, median) over the training batch."""
-    direct = features.count() <= quantiles.DIRECT_LIMIT
+    # Nine buffers share one task here, hence a lower limit for each.
+    limit = quantiles.DIRECT_LIMIT // 5
+    direct = features.count() <= limit
     ends = ("_n", F.count), ("_lo", F.min), ("_hi", F.max)
     entries = [
         F.struct(
@@ -177,7 +179,8 @@ def feature_baseline(features: DataFrame) -> DataFrame:
         return moments.drop("_f")
     moments = bounded_local(moments)  # nine rows
     sizes = moments.select(F.col("_f").alias("feature"), "_n", "_lo", "_hi")
-    medians = quantiles.exact_quantiles(long_features(features), "value", ["feature"], alias="median", sizes=sizes)
+    medians = quantiles.exact_quantiles(
+        long_features(features), "value", ["feature"], alias="median", sizes=sizes, direct_limit=limit)
     return moments.join(medians.withColumnRenamed("feature", "_f"), "_f").select("feature", "mean", "std", "median")
 
 

@@ -42,11 +42,6 @@ routed AS (
   FROM raw)"""
 
 
-def _extract(spark, sf_dir):
-    """The trade source is read once: the gate looks for repeated ids before it routes rows."""
-    return stage(M.raw_trades(spark, sf_dir), "extract")
-
-
 def _routed_label(routed):
     return routed.withColumn("failed_checks", F.array_join(F.transform("failures", lambda f: f["check"]), "|"))
 
@@ -68,19 +63,19 @@ def price_gate_verdict(spark, sf_dir):
 @query(Q.with_(_RAW_ROUTED, """SELECT trade_id, counterparty, CAST(price_eur_mwh AS DOUBLE) AS price_eur_mwh, array_to_string(failed, '|') AS failed_checks,
 len(failed) = 0 AS clean FROM routed"""))
 def trade_gate_rows(spark, sf_dir):
-    routed = _routed_label(gates.route(_extract(spark, sf_dir), M.MAPPED_TRADES))
+    routed = _routed_label(gates.route(M.raw_trades(spark, sf_dir), M.MAPPED_TRADES))
     return routed.select("trade_id", "counterparty", F.col("price_eur_mwh").cast("double").alias("price_eur_mwh"), "failed_checks", (F.size("failures") == 0).alias("clean"))
 
 
 @query(Q.with_(_RAW_ROUTED, f"{_VERDICT} FROM (SELECT 'trades' AS gate, count(*) AS rows_total, count(*) FILTER (len(failed) > 0) AS rows_quarantined FROM routed)"))
 def trade_gate_verdict(spark, sf_dir):
-    return gates.batch_verdict(gates.route(_extract(spark, sf_dir), M.MAPPED_TRADES), "trades")
+    return gates.batch_verdict(gates.route(M.raw_trades(spark, sf_dir), M.MAPPED_TRADES), "trades")
 
 
 @query(Q.with_(_RAW_ROUTED, "SELECT trade_id, trader_id, CAST(CAST(volume_mw AS DOUBLE) AS VARCHAR) AS volume_mw, array_to_string(failed, '|') AS failed_checks FROM routed WHERE len(failed) > 0"))
 def quarantined_trades(spark, sf_dir):
     """Rejected rows as the quarantine keeps them."""
-    rejected = gates.quarantined_rows(gates.route(_extract(spark, sf_dir), M.MAPPED_TRADES))
+    rejected = gates.quarantined_rows(gates.route(M.raw_trades(spark, sf_dir), M.MAPPED_TRADES))
     return rejected.select("trade_id", "trader_id", F.col("volume_mw").cast("string").alias("volume_mw"), F.array_join("failed_checks", "|").alias("failed_checks"))
 
 
@@ -90,7 +85,7 @@ e AS (SELECT *, CASE WHEN "check" LIKE '%00000)' THEN CAST(timestamp_ms AS VARCH
 r AS (SELECT *, row_number() OVER (PARTITION BY "check" ORDER BY timestamp_ms, price_eur_mwh, value) AS rn FROM e)""",
 'SELECT "check", count(*) AS failures, string_agg(value, \', \' ORDER BY rn) FILTER (rn <= 3) AS examples FROM r GROUP BY "check"'))
 def gate_findings(spark, sf_dir):
-    routed = stage(gates.route(M.unit_prices(spark, sf_dir), MARKET_PRICES), "routed")
+    routed = gates.route(M.unit_prices(spark, sf_dir), MARKET_PRICES)
     return gates.check_findings(routed, ["timestamp_ms", "price_eur_mwh"]).select("check", "failures", F.array_join("examples", ", ").alias("examples"))
 
 
