@@ -2,5 +2,8 @@
 
 from __future__ import annotations
 
-from voltledger.llm import chat_queries, decontamination_queries  # noqa: F401
+from voltledger.llm import (  # noqa: F401
+    chat_queries, decontamination_queries, language_queries, packing_queries, quality_queries, token_count_queries,
+    toxicity_queries, warc_queries,
+)
 from voltledger.llm.catalog import QUERIES, SQL  # noqa: F401

@@ -4,9 +4,11 @@ A text becomes an array of words (A-Z lowered; a word is a run of digits, a-z an
 U+007F).  Hashes of ``GRAM`` consecutive words are taken at every position, and from each
 ``WINDOW - GRAM + 1`` neighbouring hashes the smallest is kept, the leftmost of equals.  Two texts
 that share ``WINDOW`` consecutive words therefore keep the same gram inside that span, at the same
-place of it: no shared span of that length is missed.  Kept grams of documents and items are
-joined, every hit is extended to all windows around it, and those windows are compared with the
-items' windows as text, so hash collisions cannot add anything.
+place of it: no shared span of that length is missed.  Kept grams of documents travel with the
+words around them and are joined with those of the items; every hit is extended to all windows
+that hold it, and those windows are compared with the items' windows as text, so hash collisions
+cannot add anything.  Only hits are shuffled: the items' grams are written first, so the planner
+knows their size and broadcasts them where they are small, as benchmarks are beside a corpus.
 
 An item of fewer than ``WINDOW`` words is one window of its own length; for each such length that
 the benchmark has (nine at most) the grams of that length are taken at every position.
@@ -75,10 +77,13 @@ def _gram_hashes(df: DataFrame, k: int) -> DataFrame:
 
 
 def _fingerprints(df: DataFrame, k: int, w: int) -> DataFrame:
-    """Rows (key columns, fp, at): the smallest gram hash of each ``w`` neighbours with its place."""
+    """Rows (key columns, fp, start, around): the smallest gram hash of each ``w`` neighbours.
+
+    ``around`` are the words of all windows of ``k + w - 1`` words that hold it, from place ``start`` on.
+    """
     keys = [c for c in df.columns if c != "words"]
     df = _gram_hashes(df, k)
-    mask = ~((1 << PLACE_BITS) - 1)
+    mask, low = ~((1 << PLACE_BITS) - 1), (1 << PLACE_BITS) - 1
     df = df.withColumn("_m", F.transform("grams", lambda g, i: g.bitwiseAND(F.lit(mask)).bitwiseOR(i.cast("long"))))
     # Sliding minimum over w values from minima over 1, 2, 4, ... values.
     span, n = 1, F.size("grams")
@@ -88,11 +93,15 @@ def _fingerprints(df: DataFrame, k: int, w: int) -> DataFrame:
         df = df.withColumn("_m", _pairs(
             _shift(F.col("_m"), 0, length), _shift(F.col("_m"), step, length), lambda x, y: F.least(x, y)))
         span += step
-    return df.select(*keys, F.explode(F.array_distinct("_m")).alias("_v")).select(
-        *keys,
-        F.shiftright("_v", PLACE_BITS).alias("fp"),
-        F.col("_v").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int").alias("at"),
-    )
+
+    def hit(v: Column) -> Column:
+        at = v.bitwiseAND(F.lit(low)).cast("int")
+        start = F.greatest(at - (w - 1), F.lit(0))
+        return F.struct(
+            F.shiftright(v, PLACE_BITS).alias("fp"), start.alias("start"),
+            F.array_join(F.slice("words", start + 1, at + (k + w - 1) - start), " ").alias("around"))
+
+    return df.select(*keys, F.explode(F.transform(F.array_distinct("_m"), hit)).alias("_h")).select(*keys, "_h.*")
 
 
 def _windows(items: DataFrame) -> DataFrame:
@@ -123,22 +132,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         known = stage(_fingerprints(whole, k, w).select("fp").distinct(), "bench-prints")
         long_enough = docs.select("doc_id", "th", words(F.col("text")).alias("words")).where(F.size("words") >= span)
         found = _fingerprints(long_enough, k, w).join(known, "fp", "left_semi")
-        # Every window of `span` words that holds the gram.
-        return found.select("doc_id", "th", F.lit(span).alias("span"), F.explode(
-            F.sequence(F.greatest(F.col("at") - (span - k), F.lit(0)), F.col("at"))).alias("start"))
-
-    starts = stage(
-        reduce(DataFrame.unionByName, [hits(*s) for s in specs])
-        .groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "span")).alias("starts")), "winnow-hits")
-
-    texts = docs.join(starts.withColumnsRenamed({"doc_id": "_id", "th": "_th"}),
-                      F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))).select(
-        "doc_id", "th", words(F.col("text")).alias("words"), "starts")
-    at = F.filter("starts", lambda s: s["start"] + s["span"] <= F.size("words"))
-    around = texts.select("doc_id", "th", F.explode(F.transform(at, lambda s: F.struct(
-        s["start"].alias("start"), s["span"].alias("span"),
-        F.array_join(F.slice("words", s["start"] + 1, s["span"]), " ").alias("window")))).alias("w"))
-    shared = around.select("doc_id", "th", "w.*").join(windows, "window")
+        # Extension: every window of `span` words around the gram.
+        near = F.split("around", " ")
+        return found.select("doc_id", "th", F.lit(span).alias("span"), F.explode(F.transform(
+            F.sequence(F.lit(1), F.size(near) - span + 1),
+            lambda i: F.struct((F.col("start") + i - 1).alias("start"), F.array_join(F.slice(near, i, span), " ").alias("window")),
+        )).alias("w")).select("doc_id", "th", "span", "w.*")
+
+    shared = reduce(DataFrame.unionByName, [hits(*s) for s in specs]).join(windows, "window")
     covered = F.array_distinct(F.flatten(F.transform(
         F.collect_set(F.struct("start", "span")), lambda s: F.sequence(s["start"], s["start"] + s["span"] - 1))))
     found = shared.groupBy("doc_id", "th").agg(
