@@ -28,7 +28,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def rows(df: pd.DataFrame) -> Counter:
     def plain(v):
-        if v is None or (isinstance(v, float) and v != v) or v is pd.NaT:
+        if v is None or (isinstance(v, float) and v != v) or v is pd.NaT or v is pd.NA:
             return None
         if isinstance(v, bool):
             return v
