@@ -1,0 +1,117 @@
+"""The Jaccard join against brute force."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+
+from voltledger.llm import jaccard
+from voltledger.llm.components import components
+
+
+def shingles(text):
+    lowered = (text or "").translate({c: c + 32 for c in range(65, 91)})
+    w = re.findall(r"[0-9a-z\x80-\U0010ffff]+", lowered)
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def brute(rows):
+    """Per row: (doc_id, smallest doc_id of its class, smallest of its copies, links)."""
+    sets = [shingles(t) for _, t in rows]
+    n, root = len(rows), list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    links = [0] * n
+    for i in range(n):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 5 * both >= 4 * len(sets[i] | sets[j]):
+                links[i] += 1
+                links[j] += 1
+                root[find(i)] = find(j)
+    least = lambda ids: min((x for x in ids if x is not None), default=None)
+    out = []
+    for i in range(n):
+        own = [rows[j][0] for j in range(n) if find(j) == find(i)]
+        copies = [rows[j][0] for j in range(n) if j == i or (sets[i] and sets[j] == sets[i])]
+        out.append((rows[i][0], least(own), least(copies), links[i]))
+    return sorted(out, key=str)
+
+
+def ours(spark, rows, **options):
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, class_id string")
+    return sorted(map(tuple, jaccard.join(df, **options).select("doc_id", "class_id", "copy_id", "n_links").collect()), key=str)
+
+
+def near_copies(seed, n=120):
+    rnd = random.Random(seed)
+    base = [" ".join(f"w{rnd.randrange(4000)}" for _ in range(rnd.choice([30, 60, 150]))) for _ in range(6)]
+    rows = []
+    for i in range(n):
+        words = rnd.choice(base).split()
+        for _ in range(rnd.choice([0, 0, 1, 1, 2, 4])):
+            words[rnd.randrange(len(words))] = f"z{rnd.randrange(50)}"
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("block", [512, 16])
+def test_near_copies(spark, block):
+    rows = near_copies(block)
+    assert ours(spark, rows, block=block) == brute(rows)
+
+
+def test_odd_rows(spark):
+    long = " ".join(f"word{i}" for i in range(60_000))
+    rows = [(1, None), (2, ""), (3, " ,;\n"), (4, "one two"), (5, "One, TWO!"), (None, "one two"), (6, "one two"), (6, "one two"),
+            (7, long), (8, long + " end"), (9, "a b c d e f g"), (9, "q r s t u v"), (None, None)]
+    assert ours(spark, rows) == brute(rows)
+
+
+def test_empty_table(spark):
+    assert ours(spark, []) == []
+    assert jaccard.first_of_each_class(spark.createDataFrame([], "doc_id long, text string, lang string")).count() == 0
+
+
+def test_one_of_each_class_stays(spark):
+    rows = near_copies(3) + [(500, None), (501, ""), (7, near_copies(3)[7][1])]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, source string")
+    kept = jaccard.first_of_each_class(df)
+    assert kept.columns == df.columns
+    expected = {c for _, c, _, _ in brute(rows)}
+    assert kept.count() == len(expected)
+
+
+def test_real_documents(spark, sf_dir):
+    df = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = [tuple(r) for r in df.select("doc_id", "text").collect()]
+    assert ours(spark, rows) == brute(rows)
+
+
+def test_pruning_limits_keep_pairs_at_the_threshold():
+    least = jaccard.least_matches(0.8, 1e-6)
+    assert least == sorted(least) and 50 <= least[-1] <= 65
+    rng = np.random.default_rng(1)
+    a = rng.integers(0, 1 << 16, (2000, jaccard.HASHES), dtype=np.uint16)
+    b = np.where(rng.random(a.shape) < 0.8, a, a + 1).astype(np.uint16)
+    both, i = np.vstack([a, b]), np.arange(2000)
+    assert len(jaccard.prune(both, i, i + 2000, least)[0]) == 2000
+    c = np.where(rng.random(a.shape) < 0.3, a, a + 1).astype(np.uint16)
+    assert len(jaccard.prune(np.vstack([a, c]), i, i + 2000, least)[0]) == 0
+
+
+def test_components(spark):
+    rnd = random.Random(5)
+    edges = [(rnd.randrange(400), rnd.randrange(400)) for _ in range(150)] + [(1000 + i, 1001 + i) for i in range(40)]
+    found = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    root = {x: x for e in edges for x in e}
+    for _ in root:
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    linked = {x for e in edges if e[0] != e[1] for x in e}
+    assert found == {x: root[x] for x in linked}

@@ -157,8 +157,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that share no window with the benchmark, columns unchanged."""
-    dirty = contamination(docs, benchmark).where("contaminated").select("doc_id", "text_hash").distinct().alias("x")
-    mine = docs.alias("d")
-    return mine.join(
+    dirty = stage(contamination(docs, benchmark).where("contaminated").select("doc_id", "text_hash").distinct(), "dirty").alias("x")
+    return docs.alias("d").join(
         dirty, F.col("d.doc_id").eqNullSafe(F.col("x.doc_id"))
         & (F.xxhash64(F.col("d.text").cast("string")) == F.col("x.text_hash")), "left_anti")

@@ -217,3 +217,16 @@ def score(docs: DataFrame, model: AdditiveModel, keep: tuple[str, ...] = ("doc_i
                 [*(batch.column(c) for c in kept), pa.array(shared.value.score(x))], names=[*kept, "quality_score"])
 
     return rows.mapInArrow(run, f"{schema}, quality_score double")
+
+
+def accepted(docs: DataFrame, model: AdditiveModel, least: float = 0.5) -> DataFrame:
+    """The documents that score at least ``least``, columns unchanged."""
+    ship_package(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.array([text_numbers(t.as_py()) for t in batch.column("text")]).reshape(-1, len(FEATURES))
+            yield batch.filter(pa.array(shared.value.score(x) >= least))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -155,6 +155,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int =
     return fit(found, np.array(table.column("label").to_pylist(), dtype=float), buckets)
 
 
+def _scores(m: FactorizationMachine, column: pa.Array) -> np.ndarray:
+    return m.score([(lambda d: d[m.row_of[d] > 0])(terms(t.as_py(), m.buckets)) for t in column])
+
+
 def score(docs: DataFrame, model: FactorizationMachine, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The kept columns and ``toxic_score``, one row per document row."""
     ship_package(docs.sparkSession)
@@ -163,11 +167,22 @@ def score(docs: DataFrame, model: FactorizationMachine, keep: tuple[str, ...] =
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
         for batch in batches:
-            found = [(lambda d: d[m.row_of[d] > 0])(terms(t.as_py(), m.buckets)) for t in batch.column("_text")]
             kept = [c for c in batch.schema.names if c != "_text"]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in kept), pa.array(m.score(found))], names=[*kept, "toxic_score"])
+                [*(batch.column(c) for c in kept), pa.array(_scores(shared.value, batch.column("_text")))],
+                names=[*kept, "toxic_score"])
 
     return rows.mapInArrow(run, f"{schema}, toxic_score double")
+
+
+def accepted(docs: DataFrame, model: FactorizationMachine, below: float = 0.5) -> DataFrame:
+    """The documents that score below ``below``, columns unchanged."""
+    ship_package(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_scores(shared.value, batch.column("text")) < below))
+
+    return docs.mapInArrow(run, docs.schema)
