@@ -39,7 +39,7 @@ from voltledger.session import ship_package, stage
 SEQ_LEN = 2048
 END_ID = 1
 MAX_QUEUES = 2048
-_BYTES_AT_ONCE = 4 << 20
+_BYTES_AT_ONCE = 2 << 20
 
 _TOKENS = "doc_id long, source string, part int, earlier long, n long, ids binary"
 _PIECES = ("doc_id long, source string, start long, length long, ids_crc32 long, doc_tokens long, "

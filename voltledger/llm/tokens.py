@@ -3,18 +3,27 @@
 from __future__ import annotations
 
 import base64
+import json
 import re
+import struct
+import unicodedata
 from functools import lru_cache
 
 import numpy as np
+import regex
 
 WORD_VOCAB = "word_bpe_49k.json"
 BYTE_VOCAB = "byte_bpe_50k.tiktoken"
 # Words kept per worker; the table is emptied when full, which changes speed only.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 500_000
 
-# White space that no pre-token of the word vocabulary can hold.
+# Blanks for str.split that the tokenizer's pattern does not count as white space.
+_ODD_BLANKS = ("\x1c", "\x1d", "\x1e", "\x1f")
 _BLANK = re.compile(r"[ \t\n\r]+")
+_TWO_MARKS = re.compile(r"(?:[^\w\s]|_){2}")
+# Fixed values of the vocabulary: its pre-token pattern and its mark for the end of a word.
+_PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+_WORD_END = "</w>"
 
 
 def tokenizer_path(name: str) -> str:
@@ -23,35 +32,73 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-class WordEncoder:
-    """Ids of whole texts from a word-level BPE that drops white space.
+def _byte_of() -> dict[str, int]:
+    """The byte that each letter of a byte-level vocabulary stands for."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
-    Its pre-tokens never span blanks, so a text's ids are the ids of its blank-separated words in
-    order; the tokenizer encodes every word once and texts are put together from the table.
+
+class WordEncoder(dict):
+    """Ids of whole texts from a word-level BPE that drops white space; a table word -> ids.
+
+    Pre-tokens of this vocabulary never span white space, so the ids of a text are those of its
+    words in order, and every word is encoded once.  Merges run in the same vocabulary read as
+    byte ranks, with byte 0 for the mark at a word's end, which costs far less per word than a
+    call of the tokenizer.  Words with letters beyond U+024F or with byte 0 go to the tokenizer.
     """
 
     def __init__(self, path: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
+        super().__init__()
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self._ids: dict[str, bytes] = {"": b""}
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        byte_of, ranks, by_name = _byte_of(), {}, model["vocab"]
+        for token, rank in by_name.items():
+            end = token.endswith(_WORD_END)
+            letters = token.removesuffix(_WORD_END)
+            if all(c in byte_of for c in letters) and not token.startswith("<|"):
+                ranks[bytes(byte_of[c] for c in letters) + b"\0" * end] = rank
+        # Ranks must be the order of the merges.
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        order = [by_name[a + b] for a, b in pairs]
+        self._fast = None
+        if order == sorted(order) and all(by_name[c + e] < order[0] for c in byte_of for e in ("", _WORD_END)):
+            self._fast = tiktoken.Encoding("words", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
+
+    def __missing__(self, word: str) -> bytes:
+        if self._fast is None or not word or max(word) > "\u024f" or "\0" in word:
+            ids = self._tokenizer.encode(word, add_special_tokens=False).ids
+        elif word.isalpha():
+            ids = self._fast.encode_ordinary(word + "\0")
+        else:
+            ids = [i for piece in _PRE_TOKEN.findall(word) for i in self._fast.encode_ordinary(piece + "\0")]
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        self[word] = found = struct.pack(f"<{len(ids)}I", *ids)
+        return found
+
+    @staticmethod
+    def _words(text: str) -> list[str]:
+        """Lowered words whose ids, in order, are those of the text."""
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3")  # no special sigma at word ends
+        text = text.lower()
+        if any(c in text for c in _ODD_BLANKS):
+            return [w for w in _BLANK.split(text) if w]
+        if not _TWO_MARKS.search(text):
+            # A mark with no other beside it is a pre-token anyway; apart from its word, both are common words.
+            text = text.replace(",", " , ").replace(".", " . ")
+        return text.split()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text its ids as little-endian unsigned 32-bit numbers."""
-        # Long texts are taken one by one, so that the words of a batch stay bounded.
-        split = [_BLANK.split(t) for t in texts]
-        wanted = set().union(*split) if split else set()
-        missing = [w for w in wanted if w not in self._ids]
-        if len(self._ids) + len(missing) > CACHE_WORDS:
-            self._ids = {"": b""}
-            missing = [w for w in wanted if w]
-        for start in range(0, len(missing), 20_000):
-            part = missing[start : start + 20_000]
-            for word, found in zip(part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self._ids[word] = np.asarray(found.ids, dtype="<u4").tobytes()
-        get = self._ids.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        get = self.__getitem__
+        return [b"".join(map(get, self._words(t))) for t in texts]
 
 
 @lru_cache(maxsize=2)
