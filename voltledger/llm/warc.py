@@ -170,8 +170,9 @@ def write_archives(pages: DataFrame, path: str, min_revisit_bytes: int = 0, date
     first = keys.join(shared, "sha1").select("key", F.struct(F.col("first").alias("page_id")).alias("first")).distinct()
 
     total = rows.agg(F.sum(F.length("payload"))).first()[0] or 0
-    dealt = rows.repartition(max(1, -(-total // archive_bytes)), "key")
-    marked = dealt.join(first, "key", "left").sortWithinPartitions("key", "url")
+    archives = max(1, -(-total // archive_bytes))
+    # Both sides dealt alike: the join moves no payload again.
+    marked = rows.repartition(archives, "key").join(first.repartition(archives, "key"), "key", "left").sortWithinPartitions("key", "url")
     frames = marked.mapInArrow(_write(date, level, dict_bytes, sample_bytes), "value binary")
     frames.select(F.col("value").cast("string").alias("value")).write.text(path)
 
