@@ -10,7 +10,8 @@ Terms are hashes of words and of word starts, folded into ``buckets`` (a power o
 the fitting sample (z-score below ``min_z``) take no part, so a long text does not gather noise.
 
 The model is fitted on at most ``sample_size`` labelled documents (those with the smallest id
-hashes); their distinct terms come to the driver.  The model has at most ``max_terms`` rows.
+hashes).  Terms are counted in tasks; what comes to the driver are at most ``max_terms`` terms and,
+of each fitting document, those among them.
 
 Defined results: a null or empty text has no terms and scores the intercept; null doc_id is in no
 fold; repeated rows are scored each; without labels every score is 0.5; other columns are passed
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltledger.llm import samples, texts
-from voltledger.session import ship_package
+from voltledger.session import ship_package, stage
 
 SAMPLE_SIZE = 20_000
 BUCKETS = 1 << 20
@@ -79,26 +80,10 @@ def _raw(m, rows: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return m.bias + _sums(m.linear[rows], lengths) + pairs, s
 
 
-def _screen(docs: list[np.ndarray], y: np.ndarray, min_docs: int, min_z: float, max_terms: int) -> np.ndarray:
-    """Terms that go with the label: two-proportion z-score, strongest first."""
-    every, back = np.unique(np.concatenate(docs or [np.empty(0, np.int32)]), return_inverse=True)
-    if not len(every):
-        return every
-    y_of = np.repeat(y, [len(d) for d in docs])
-    n = np.bincount(back, minlength=len(every)).astype(float)
-    hit = np.bincount(back, weights=y_of, minlength=len(every))
-    p = y.mean()
-    z = (hit - n * p) / np.sqrt(np.maximum(n * p * (1 - p), 1e-9))
-    kept = np.flatnonzero((n >= min_docs) & (np.abs(z) >= min_z))
-    return every[kept[np.argsort(-np.abs(z[kept]), kind="stable")][:max_terms]]
-
-
-def fit(docs: list[np.ndarray], y: np.ndarray, buckets: int = BUCKETS, rank: int = RANK, epochs: int = 30, batch: int = 256,
-        rate: float = 0.3, decay: float = 1e-4, min_docs: int = 4, min_z: float = 4.0, max_terms: int = MAX_TERMS,
-        seed: int = 7) -> FactorizationMachine:
-    """Adagrad on the logistic loss; the same rows and seed give the same model."""
+def fit(docs: list[np.ndarray], y: np.ndarray, chosen: np.ndarray, buckets: int = BUCKETS, rank: int = RANK,
+        epochs: int = 30, batch: int = 256, rate: float = 0.3, decay: float = 1e-4, seed: int = 7) -> FactorizationMachine:
+    """Adagrad on the logistic loss over the chosen terms; the same rows and seed give the same model."""
     share = np.clip(y.mean(), 0.5 / len(y), 1 - 0.5 / len(y)) if len(y) else 0.5
-    chosen = _screen(docs, y, min_docs, min_z, max_terms) if len(y) else np.empty(0, np.int32)
     row_of = np.zeros(buckets, dtype=np.int32)
     row_of[chosen] = np.arange(1, len(chosen) + 1)
     rng = np.random.default_rng(seed)
@@ -143,16 +128,59 @@ def _terms_of(buckets: int):
     return run
 
 
+def _count_terms(buckets: int):
+    """Per task: how many of its documents hold each term, and how many of those are labelled 1."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, hits = np.zeros(buckets, dtype=np.int64), np.zeros(buckets, dtype=np.int64)
+        for batch in batches:
+            for row, label in zip(batch.column("terms"), batch.column("label").to_pylist(), strict=True):
+                found = np.frombuffer(row.as_py(), dtype=np.int32)
+                n[found] += 1
+                if label:
+                    hits[found] += 1
+        some = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(n[some]), pa.array(hits[some])], names=["term", "n", "hits"])
+
+    return run
+
+
+def telling_terms(coded: DataFrame, buckets: int, min_docs: int, min_z: float, max_terms: int) -> np.ndarray:
+    """Terms that go with the label: two-proportion z-score, strongest first.  At most max_terms come to the driver."""
+    total, ones = coded.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
+    if not total:
+        return np.empty(0, dtype=np.int32)
+    p = ones / total
+    counts = coded.select("terms", "label").mapInArrow(_count_terms(buckets), "term int, n long, hits long")
+    counts = counts.groupBy("term").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"))
+    z = F.abs((F.col("hits") - F.col("n") * p) / F.sqrt(F.greatest(F.col("n") * (p * (1 - p)), F.lit(1e-9))))
+    kept = counts.withColumn("z", z).where((F.col("n") >= min_docs) & (F.col("z") >= min_z))
+    return np.array([r["term"] for r in kept.orderBy(F.desc("z"), "term").limit(max_terms).collect()], dtype=np.int32)
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 5, held_out: int = 0,
-          sample_size: int = SAMPLE_SIZE, buckets: int = BUCKETS) -> FactorizationMachine:
+          sample_size: int = SAMPLE_SIZE, buckets: int = BUCKETS, min_docs: int = 4, min_z: float = 4.0,
+          max_terms: int = MAX_TERMS) -> FactorizationMachine:
     ship_package(docs.sparkSession)
     sample = samples.smallest_by_hash(samples.labelled(labels, label, folds, held_out), sample_size)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(sample, "doc_id")
     coded = rows.select("doc_id", "label", "text").mapInArrow(_terms_of(buckets), "doc_id long, label int, terms binary")
     # One row per document of the sample, whatever is repeated.
-    table = coded.groupBy("doc_id").agg(F.min("terms").alias("terms"), F.max("label").alias("label")).toArrow().sort_by("doc_id")
+    coded = stage(coded.groupBy("doc_id").agg(F.min("terms").alias("terms"), F.max("label").alias("label")), "sample-terms")
+    chosen = telling_terms(coded, buckets, min_docs, min_z, max_terms)
+    wanted = np.zeros(buckets, dtype=bool)
+    wanted[chosen] = True
+
+    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.frombuffer(t.as_py(), dtype=np.int32) for t in batch.column("terms")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("label"), pa.array([t[wanted[t]].tobytes() for t in found], pa.binary())],
+                names=["doc_id", "label", "terms"])
+
+    table = coded.select("doc_id", "label", "terms").mapInArrow(narrow, "doc_id long, label int, terms binary").toArrow().sort_by("doc_id")
     found = [np.frombuffer(v, dtype=np.int32) for v in table.column("terms").to_pylist()]
-    return fit(found, np.array(table.column("label").to_pylist(), dtype=float), buckets)
+    return fit(found, np.array(table.column("label").to_pylist(), dtype=float), chosen, buckets)
 
 
 def _scores(m: FactorizationMachine, column: pa.Array) -> np.ndarray:
