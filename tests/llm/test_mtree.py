@@ -1,0 +1,103 @@
+"""M-tree search against brute force."""
+
+import random
+
+import numpy as np
+import pytest
+
+from voltledger.llm import mtree
+
+
+def brute(rows, k, every):
+    fit = {(i, tuple(int(np.floor(1024 * float(x))) for x in v)) for i, v in rows
+           if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)}
+    dims = max((len(v) for _, v in fit), default=0)
+    fit = {(i, v + (0,) * (dims - len(v))) for i, v in fit}
+    out = []
+    for q, qv in fit:
+        if q % every:
+            continue
+        scored = sorted((-sum(a * b for a, b in zip(qv, v)), i) for i, v in fit if i != q)[:k]
+        out += [(q, r, i, -s) for r, (s, i) in enumerate(scored, 1)]
+    return sorted(out)
+
+
+def ours(spark, rows, k, every, **options):
+    df = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<float>, region int")
+    vectors = mtree.to_integers(df)
+    return sorted(map(tuple, mtree.top_k(vectors, vectors.where(f"vec_id % {every} = 0"), k, **options).collect()))
+
+
+def floats(v):
+    return [float(np.float32(x)) for x in v]
+
+
+@pytest.mark.parametrize("options", [{}, {"shard": 60, "regions": 7, "query_block": 5}])
+def test_clusters_copies_and_ties(spark, options):
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(6, 8))
+    rows = [(i, floats(centres[i % 6] + 0.2 * rng.normal(size=8))) for i in range(300)]
+    rows += [(1000 + i, rows[0][1]) for i in range(150)]  # one very common vector
+    rows += [(2000 + i, floats(np.round(rng.normal(size=8)))) for i in range(50)]
+    assert ours(spark, rows, 10, 10, **options) == brute(rows, 10, 10)
+
+
+def test_odd_rows(spark):
+    rows = [(0, [1.0, 2.0]), (1, None), (2, []), (3, [1.0, None]), (4, [float("nan"), 1.0]), (5, [float("inf"), 1.0]), (6, [0.5]),
+            (7, [-1.0, 3.0, 2.0]), (None, [1.0]), (8, [0.0, 0.0]), (8, [0.0, 0.0]), (9, [1.0, 1.0]), (9, [2.0, 1.0]), (10, [1e-9, -1e-9])]
+    assert ours(spark, rows, 10, 2) == brute(rows, 10, 2)
+
+
+def test_few_rows(spark):
+    assert ours(spark, [], 10, 2) == []
+    assert ours(spark, [(0, [1.0])], 10, 2) == []
+    assert ours(spark, [(1, [1.0]), (3, [1.0])], 10, 2) == []
+    assert ours(spark, [(0, [1.0]), (3, [2.0])], 10, 2) == [(0, 1, 3, 2048 * 1024)]
+
+
+def test_bounds_save_distances():
+    rng = np.random.default_rng(3)
+    v = np.floor(1024 * (rng.normal(size=(60, 6))[rng.integers(0, 60, 4000)] + 0.02 * rng.normal(size=(4000, 6)))).astype(np.int64)
+    top = int((v * v).sum(1).max())
+    import pandas as pd
+
+    ids = np.arange(4000)
+    built = mtree.Builder(ids, v, top)
+    assert all(len(p["ids"]) <= mtree.LEAF for p in built.pages if p["leaf"])
+    tree = mtree.Tree(pd.DataFrame(built.pages), 6, top)
+    work = 0
+    for q in range(0, 4000, 200):
+        found, computed = tree.best(q, v[q], 10, None)
+        work += computed
+        want = sorted(((int(s), -int(i)) for s, i in zip(v @ v[q], ids) if i != q), reverse=True)[:10]
+        assert sorted(found, reverse=True) == want
+    assert work < 20 * 4000 * 0.5
+
+
+def test_covering_radii_and_parent_distances():
+    rng = np.random.default_rng(4)
+    v = np.floor(100 * rng.normal(size=(700, 4))).astype(np.int64)
+    top = int((v * v).sum(1).max())
+    built = mtree.Builder(np.arange(700), v, top)
+
+    def members(page):
+        p = built.pages[page]
+        return p["ids"].tolist() if p["leaf"] else [m for c in p["ids"].reshape(-1, 2)[:, 0] for m in members(c)]
+
+    lifted = mtree.lift(v, top)
+    assert sorted(members(0)) == list(range(700))
+    for p in built.pages:
+        if not p["leaf"]:
+            routes = np.frombuffer(p["vectors"]).reshape(-1, 5)
+            for route, child, radius in zip(routes, p["ids"].reshape(-1, 2), p["radii"]):
+                d = np.linalg.norm(lifted[members(child[0])] - route, axis=1)
+                assert d.max() <= radius + 1e-9 and child[1] == min(members(child[0]))
+                below = built.pages[child[0]]
+                at = lifted[below["ids"]] if below["leaf"] else np.frombuffer(below["vectors"]).reshape(-1, 5)
+                assert np.allclose(np.linalg.norm(at - route, axis=1), below["parents"])
+
+
+def test_random_floats(spark):
+    rnd = random.Random(9)
+    rows = [(i, floats(rnd.gauss(0, 1) for _ in range(16))) for i in range(400)]
+    assert ours(spark, rows, 3, 25, shard=100) == brute(rows, 3, 25)

@@ -16,7 +16,7 @@ the benchmark has (nine at most) the grams of that length are taken at every pos
 Positions travel inside the hash: the low 30 bits hold the place (a row holds fewer words), the
 rest the hash, so the smallest value also decides ties by place.
 
-Defined results: null or wordless text has no words and no hits; null ids count as ids; repeated
+Defined results: null or wordless text has no words and no hits; null doc_id counts as an id, a null item_id is listed as an empty string; repeated
 document rows give equal rows each; an item without words has no window; an empty benchmark finds
 nothing; other columns are ignored.
 """
@@ -111,7 +111,7 @@ def _windows(items: DataFrame) -> DataFrame:
     texts = F.transform(F.sequence(F.lit(1), n - length + 1), lambda i: F.array_join(F.slice("words", i, length), " "))
     return (
         items.where(n > 0).select("item_id", F.explode(F.array_distinct(texts)).alias("window"))
-        .groupBy("window").agg(F.collect_set(F.col("item_id").cast("string")).alias("items"))
+        .groupBy("window").agg(F.collect_set(F.coalesce(F.col("item_id").cast("string"), F.lit(""))).alias("items"))
     )
 
 
