@@ -30,7 +30,7 @@ _VERDICT = """SELECT gate, rows_total, rows_total - rows_quarantined AS rows_cle
 _RAW_ROUTED = f"""{Q.RAW},
 routed AS (
   SELECT *, list_filter([
-    CASE WHEN NOT regexp_matches(trade_id, '^TRD-\\d{{8}}$') THEN 'str_matches(''^TRD-\\d{{8}}$'')' END,
+    CASE WHEN NOT regexp_matches(trade_id, '^TRD-\\d{{8,}}\\z') THEN 'str_matches(''^TRD-\\d{{8,}}\\z'')' END,
     CASE WHEN count(*) OVER (PARTITION BY trade_id) > 1 THEN 'field_uniqueness' END,
     CASE WHEN NOT length(counterparty) BETWEEN 2 AND 50 THEN 'str_length(2, 50)' END,
     CASE WHEN commodity NOT IN ('POWER', 'NATURAL_GAS') THEN 'isin([''POWER'', ''NATURAL_GAS''])' END,

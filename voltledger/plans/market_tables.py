@@ -11,8 +11,8 @@ from voltledger.functions.contracts import TRADES, Contract, matches
 from voltledger.operators.gold import latest_price, value_trades
 from voltledger.operators.silver import to_silver_trades
 
-# Mapped ids carry eight digits.
-MAPPED_TRADES: Contract = TRADES.with_field("trade_id", checks=(matches(r"^TRD-\d{8}$"),))
+# Mapped ids carry at least eight digits; longer numbers keep all of theirs.
+MAPPED_TRADES: Contract = TRADES.with_field("trade_id", checks=(matches(r"^TRD-\d{8,}\z"),))
 
 # Total order that picks the survivor of a repeated trade id.
 SURVIVOR_ORDER = (
@@ -38,7 +38,7 @@ def raw_trades(spark: SparkSession, sf_dir: str, extra: Sequence[str] = ()) -> D
     hours = F.get(F.array(*[F.lit(h).cast("bigint") for h in (1, 4, 12, 24)]), F.col("l_linenumber") % 4)
     number = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string")
     return joined.select(
-        F.concat(F.lit("TRD-"), F.lpad(number, 8, "0")).alias("trade_id"),
+        F.concat(F.lit("TRD-"), F.lpad(number, F.greatest(F.length(number), F.lit(8)), F.lit("0"))).alias("trade_id"),
         F.concat(F.lit("TRADER-"), (F.col("l_suppkey") % 10 + 101).cast("string")).alias("trader_id"),
         F.replace("c_name", F.lit("#"), F.lit("_")).alias("counterparty"),
         F.when(F.col("l_partkey") % 2 == 0, "POWER").otherwise("NATURAL_GAS").alias("commodity"),

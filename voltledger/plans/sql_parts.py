@@ -1,7 +1,7 @@
 """Common table expressions shared by the comparison SQL."""
 
 RAW = """raw AS (
-  SELECT 'TRD-' || lpad(CAST(l_orderkey * 10 + l_linenumber AS VARCHAR), 8, '0') AS trade_id,
+  SELECT 'TRD-' || lpad(CAST(l_orderkey * 10 + l_linenumber AS VARCHAR), greatest(8, length(CAST(l_orderkey * 10 + l_linenumber AS VARCHAR)))::INT, '0') AS trade_id,
          'TRADER-' || CAST(101 + l_suppkey % 10 AS VARCHAR) AS trader_id,
          replace(c_name, '#', '_') AS counterparty,
          CASE WHEN l_partkey % 2 = 0 THEN 'POWER' ELSE 'NATURAL_GAS' END AS commodity,

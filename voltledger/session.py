@@ -14,9 +14,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Used only where the session names no checkpoint folder (local tests).
-_local_fallback: dict[str, str] = {}
-
+# A session that names no checkpoint folder: its folder, by application.
+_fallback: dict[str, str] = {}
 
 _shipped: set[str] = set()
 
@@ -32,12 +31,24 @@ def ship_package(spark: SparkSession) -> None:
         _shipped.add(app)
 
 
+def _own_folder(spark: SparkSession) -> str:
+    """Below the warehouse, which all executors reach; a folder of this machine only in local mode."""
+    local = spark.sparkContext.master.split("[")[0] == "local"
+    if local:
+        return tempfile.mkdtemp(prefix="voltledger-")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    default = spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    if warehouse.startswith("file:") or ("://" not in warehouse and default.startswith("file:")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
+    return f"{warehouse.rstrip('/')}/_scratch"
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared scratch folder of this application."""
     app = spark.sparkContext.applicationId
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        base = _local_fallback.setdefault(app, tempfile.mkdtemp(prefix="voltledger-"))
+        base = _fallback.get(app) or _fallback.setdefault(app, _own_folder(spark))
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/voltledger-{app}"
 
