@@ -38,6 +38,27 @@ def test_ingest_lands_clean_rows_with_audit_and_keeps_rejects(spark, tmp_path):
     assert report["overall_passed"] and report["gates"][0]["rows_clean"] == 48 and len(report["gates"][0]["findings"]) == 2
 
 
+def test_the_gate_sees_every_item(spark, tmp_path):
+    out = str(tmp_path)
+    good = [61.0 + i % 5 for i in range(36)] + ["62.5", "-3"]
+    result = medallion.secure_ingest(payloads(spark, payload(good + [None, "n/a", {"x": 1}, [2]])), out, "20260301_000000")
+    verdict = result.gate.judge()
+    assert (verdict.rows_total, verdict.rows_clean, verdict.rows_quarantined) == (42, 38, 4)
+    assert {62.5, -3.0} <= {r.price_eur_mwh for r in read_verified(spark, f"{out}/1_bronze").collect()}
+    assert spark.read.parquet(result.quarantine).count() == 4
+    with pytest.raises(medallion.IngestionBlocked, match="quality gate failed"):
+        medallion.secure_ingest(payloads(spark, payload([61.0] * 20 + [None, "abc", "?"] * 10)), out, "20260302_000000")
+    for text in (None, "[1, 2]", '"prices"'):
+        with pytest.raises(medallion.IngestionBlocked, match="not price documents"):
+            medallion.secure_ingest(payloads(spark, payload([61.0]), text), out, "20260303_000000")
+
+
+def test_landed_rows_carry_their_audit_times(spark, tmp_path):
+    medallion.secure_ingest(payloads(spark, payload([61.0] * 5, fetched_at="2026-03-01T00:00:00Z")), str(tmp_path), "20260301_000000")
+    row = read_verified(spark, f"{tmp_path}/1_bronze").first()
+    assert row.fetched_at == "2026-03-01T00:00:00Z" and row.security.scanned_at.startswith("20")
+
+
 def test_ingest_blocks_on_a_threat_before_anything_is_written(spark, tmp_path):
     with pytest.raises(ContentThreat):
         medallion.secure_ingest(payloads(spark, payload([80.0], note="'; DROP TABLE x;--")), str(tmp_path), "s")
@@ -102,6 +123,24 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
     assert len(latest) == 4 and latest[START + 3600000] in (81.0, 90.0)
 
 
+def test_another_checkpoint_erases_nothing_and_silver_holds_all(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "one.json").write_text(payload([61.0, 62.0]))
+    stream_ingest(spark, src, out, str(tmp_path / "k1")).awaitTermination()
+    (tmp_path / "in" / "one.json").rename(tmp_path / "kept.json")
+    (tmp_path / "in" / "two.json").write_text(payload([71.0], START + 7 * 3600000))
+    stream_ingest(spark, src, out, str(tmp_path / "k2")).awaitTermination()
+    assert read_verified(spark, f"{out}/1_bronze").count() == 3
+    book = books.frame(spark, books.rows(10, 1))
+    prices, _ = medallion.build_silver(spark, out, book, all_batches=True)
+    assert sorted(r.price_eur_mwh for r in prices.collect()) == [61.0, 62.0, 71.0]
+    # A later batch run is newer than anything streamed before it.
+    medallion.secure_ingest(payloads(spark, payload([81.0])), out, "29991231_000000")
+    prices, _ = medallion.build_silver(spark, out, book)
+    assert [r.price_eur_mwh for r in prices.collect()] == [81.0]
+
+
 def test_stream_fails_or_records_refused_files(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "bad.json").write_text(payload([80.0], note="<script>"))

@@ -161,11 +161,63 @@ def test_query_data_is_read_only_and_knows_four_views(spark, tmp_path):
     assert rows.first().n == 10 and not more
     with pytest.raises(serving.StatementRefused):
         serving.query_data(spark, root, "DROP VIEW counterparty_risk")
-    with pytest.raises(Exception, match="TABLE_OR_VIEW_NOT_FOUND"):
-        serving.query_data(spark, root, f"SELECT * FROM parquet.`{root}/3_gold/counterparty_risk`").count()
+    with pytest.raises(serving.StatementRefused):
+        serving.query_data(spark, root, f"SELECT * FROM parquet.`{root}/3_gold/counterparty_risk`")
     assert spark.conf.get("spark.sql.runSQLOnFiles") == "true"
 
 
+@pytest.mark.parametrize("sql", [
+    "SELECT * FROM default.hidden_rows", "SELECT * FROM hidden_rows", "SELECT * FROM spark_catalog.default.hidden_rows",
+    "SELECT * FROM global_temp.shared_rows", "WITH hidden_rows AS (SELECT * FROM hidden_rows) SELECT * FROM hidden_rows",
+    "SELECT (SELECT max(id) FROM default.hidden_rows) FROM counterparty_risk",
+    "SELECT reflect('java.lang.System', 'getProperty', 'user.dir')", "SELECT java_method('java.util.UUID', 'randomUUID')",
+    "SELECT `Try_Reflect`('java.lang.Math', 'abs', 1)", "SELECT * FROM counterparty_risk WHERE EXISTS (SELECT 1 FROM global_temp.shared_rows)",
+    "SELECT * FROM text.`/etc/hostname`",
+])
+def test_statements_cannot_leave_the_views(spark, tmp_path, sql):
+    root = str(tmp_path)
+    spark.range(3).withColumn("counterparty", F.lit("C")).write.parquet(f"{root}/3_gold/counterparty_risk")
+    spark.range(2).createOrReplaceGlobalTempView("shared_rows")
+    spark.range(2).write.mode("overwrite").saveAsTable("hidden_rows", path=f"{root}/elsewhere")
+    try:
+        with pytest.raises(serving.StatementRefused):
+            serving.query_data(spark, root, sql)
+        rows, more = serving.query_data(spark, root, "WITH a AS (SELECT id FROM counterparty_risk) SELECT a.id, x FROM a LATERAL VIEW explode(array(1, 2)) t AS x")
+        assert rows.count() == 6 and not more
+    finally:
+        spark.sql("DROP TABLE hidden_rows")
+
+
+def test_long_order_keys_keep_their_trades(spark, tmp_path):
+    from voltledger.plans import market_tables as M
+
+    keys = [12345678, 123456781, 1234567812, 1234567813]
+    for name, row, schema in (
+        ("lineitem", lambda k: (k, 1, 1, 1, 5.0, 10.0, 0.0, 0.0, "O", "N", dt.datetime(2024, 1, 1)), "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_linestatus string, l_returnflag string, l_shipdate timestamp_ntz"),
+        ("orders", lambda k: (k, 1, dt.datetime(2024, 1, 1)), "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz"),
+    ):
+        spark.createDataFrame([row(k) for k in keys], schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    spark.createDataFrame([(1, "C#1")], "c_custkey long, c_name string").write.parquet(f"{tmp_path}/customer.parquet")
+    ids = {r.trade_id for r in M.raw_trades(spark, str(tmp_path)).collect()}
+    assert ids == {f"TRD-{10 * k + 1}" for k in keys}
+    assert M.MAPPED_TRADES.columns
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
+    from unittest.mock import MagicMock
+
+    from voltledger import session
+
+    remote = MagicMock()
+    remote.sparkContext.master = "spark://host:7077"
+    remote._jsc.hadoopConfiguration().get.return_value = "hdfs://nn"
+    remote.conf.get.return_value = "/user/warehouse"
+    assert session._own_folder(remote) == "/user/warehouse/_scratch"
+    remote.conf.get.return_value = "file:/tmp/warehouse"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session._own_folder(remote)
+
+
 def test_serving_lists(spark):
     scored = spark.createDataFrame(
         [("A", 0.9, True, "CRITICAL"), ("B", 0.9, False, "CRITICAL"), ("C", 0.4, True, "MEDIUM"), ("D", 0.1, False, "LOW")],

@@ -2,7 +2,8 @@
 
 A micro-batch is one file, because verdicts and robust statistics are defined per
 batch. Each batch goes through exactly the steps of the batch form and lands under a
-stamp derived from its batch number, so a replayed micro-batch replaces itself.
+stamp made of its newest file's time and its files' names: it sorts among the stamps of batch
+runs, a replayed micro-batch replaces itself, and another checkpoint erases nothing.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from voltledger.functions.contracts import MARKET_PRICES, Contract
 from voltledger.operators.scan import ContentThreat
 from voltledger.plans.medallion import IngestionBlocked, secure_ingest
+from voltledger.sources.bronze import landed_prices  # noqa: F401 - belongs to the stream's interface
 
 
 def read_payload_stream(
@@ -22,10 +24,21 @@ def read_payload_stream(
     """Arriving JSON texts: one per file, or one per line where files are large."""
     return (
         spark.readStream.format("text").option("wholetext", whole_files).option("maxFilesPerTrigger", files_per_batch)
-        .load(source).select(F.col("_metadata.file_path").alias("file"), F.make_valid_utf8("value").alias("json"))
+        .load(source).select(
+            F.col("_metadata.file_path").alias("file"), F.make_valid_utf8("value").alias("json"),
+            F.col("_metadata.file_modification_time").alias("modified"))
     )
 
 
+def batch_stamp(batch: DataFrame) -> str:
+    """Order-keeping stamp of a micro-batch: the time of its newest file, then a mark of its files."""
+    files = batch.select("file", "modified").distinct()
+    row = files.agg(
+        F.date_format(F.max("modified"), "yyyyMMdd_HHmmss").alias("at"),
+        F.lower(F.hex(F.pmod(F.sum(F.crc32(F.col("file"))), F.lit(1 << 32)))).alias("mark")).first()
+    return f"{row['at']}_{row['mark']}"
+
+
 def stream_ingest(
     spark: SparkSession, source: str, out: str, checkpoint: str,
     contract: Contract = MARKET_PRICES, on_block: str = "fail", whole_files: bool = True,
@@ -42,24 +55,14 @@ def stream_ingest(
         if batch.isEmpty():
             return
         try:
-            secure_ingest(batch, out, f"batch_{batch_id:012d}", contract=contract)
+            secure_ingest(batch, out, batch_stamp(batch), contract=contract)
         except (ContentThreat, IngestionBlocked) as refusal:
             if on_block == "fail":
                 raise
             batch.select("file", F.lit(str(refusal)).alias("reason")).write.mode("overwrite").parquet(
-                f"{out}/blocked/batch_id={batch_id}")
+                f"{out}/blocked/stamp={batch_stamp(batch)}")
 
     return (
         read_payload_stream(spark, source, whole_files=whole_files).writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
-
-
-def landed_prices(bronze: DataFrame) -> DataFrame:
-    """Landed series over all batches; of a timestamp delivered again the newest batch wins.
-
-    Usable on a batch reader; aggregation keeps one row per timestamp and task.
-    """
-    newest = F.max_by(F.struct("price_eur_mwh", "commodity", "market"), "ingest_stamp")
-    return bronze.groupBy("timestamp_ms").agg(newest.alias("r"), F.max("ingest_stamp").alias("ingest_stamp")).select(
-        "timestamp_ms", "r.*", "ingest_stamp")
