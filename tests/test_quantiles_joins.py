@@ -1,8 +1,7 @@
-"""Exact quantiles and lookups under small limits, against brute force."""
+"""Exact quantiles and lookups against brute force."""
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from voltledger.operators import joins
 from voltledger.operators.quantiles import exact_quantiles
@@ -19,51 +18,58 @@ SHAPES = {
 }
 
 
+SHAPES["infinite_ends"] = np.concatenate([RNG.normal(0, 1, 2000), [np.inf] * 40, [-np.inf] * 90])
+
+
 @pytest.mark.parametrize("shape", SHAPES)
-@pytest.mark.parametrize("p", [0.5, 0.02])
-def test_quantile_by_narrowing(spark, shape, p):
+@pytest.mark.parametrize("p", [0.5, 0.02, 1.0])
+def test_quantile_of_one_group(spark, shape, p):
     values = SHAPES[shape]
     df = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(5)
-    got = exact_quantiles(df, "v", p=p, alias="q", direct_limit=50, bins=8).first()["q"]
-    assert got == pytest.approx(float(np.quantile(values, p)), rel=1e-12, abs=1e-12)
+    got = exact_quantiles(df, "v", p=p, alias="q").first()["q"]
+    ordered, rank = np.sort(values), (len(values) - 1) * p
+    low, high = ordered[int(np.floor(rank))], ordered[int(np.ceil(rank))]
+    assert got == (low if low == high else pytest.approx(low + (high - low) * (rank - np.floor(rank)), rel=1e-12, abs=1e-12))
 
 
-def test_grouped_quantiles_mix_small_and_large_groups(spark):
-    groups = {"a": SHAPES["uniform"], "b": SHAPES["one_hot_value"], "c": np.array([3.0, 1.0, 2.0, 10.0])}
-    rows = [(g, float(v)) for g, vs in groups.items() for v in vs] + [("a", None), ("b", float("nan")), (None, 5.0)]
+def test_groups_of_every_size(spark):
+    groups = {"a": SHAPES["uniform"], "b": SHAPES["one_hot_value"], "c": np.array([3.0, 1.0, 2.0, 10.0]), "d": np.array([np.inf]),
+              "e": SHAPES["infinite_ends"]}
+    rows = [(g, float(v)) for g, vs in groups.items() for v in vs] + [("a", None), ("b", float("nan")), (None, 5.0), ("f", None)]
     df = spark.createDataFrame(rows, "g string, v double")
-    got = {r.g: r.q for r in exact_quantiles(df, "v", ["g"], alias="q", direct_limit=100, bins=16).collect()}
+    got = {r.g: r.q for r in exact_quantiles(df, "v", ["g"], alias="q").collect()}
     assert got == pytest.approx({g: float(np.median(vs)) for g, vs in groups.items()})
 
 
+def test_ten_thousand_groups_take_as_many_jobs_as_one(spark):
+    def jobs(df, by):
+        tracker, name = spark.sparkContext.statusTracker(), f"quantiles-{len(by)}-{id(df)}"
+        spark.sparkContext.setJobGroup(name, name)
+        try:
+            rows = {tuple(r[k] for k in by): r.q for r in exact_quantiles(df, "v", by, alias="q").collect()}
+            return len(tracker.getJobIdsForGroup(name)), rows
+        finally:
+            spark.sparkContext._jsc.clearJobGroup()
+
+    df = spark.range(50_000).selectExpr("id % 10000 AS g", "cast((id * 7919) % 1000 AS double) AS v")
+    many, found = jobs(df, ["g"])
+    one, _ = jobs(df, [])
+    values = {}
+    for i in range(50_000):
+        values.setdefault(i % 10000, []).append(float((i * 7919) % 1000))
+    assert found == {(g,): float(np.median(vs)) for g, vs in values.items()}
+    assert many <= one + 2
+
+
 def test_no_values(spark):
     df = spark.createDataFrame([(None,)], "v double")
     assert exact_quantiles(df, "v", alias="q").first()["q"] is None
 
 
-def lookups(spark):
+def test_lookup_with_hot_null_and_absent_keys(spark):
     keys = ["hot"] * 400 + [f"k{i % 37}" for i in range(200)] + [None] * 5 + ["absent"]
     left = spark.createDataFrame(list(enumerate(keys)), "id int, k string")
     right = spark.createDataFrame([("hot", 1)] + [(f"k{i}", i + 2) for i in range(37)], "k string, v int")
-    return left, right
-
-
-def test_lookup_is_the_same_with_and_without_broadcast(spark, monkeypatch):
-    left, right = lookups(spark)
-    expected = sorted(map(tuple, left.join(right, "k", "left").select("id", "k", "v").collect()), key=str)
-    small = joins.lookup_join(left, right, "k")
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().toString()
-    assert sorted(map(tuple, small.select("id", "k", "v").collect()), key=str) == expected
-    # 40 rows no longer count as small; the key holding most rows is then split off.
-    split = joins._split_join(left, right, ["k"])
-    assert sorted(map(tuple, split.select("id", "k", "v").collect()), key=str) == expected
-    monkeypatch.setattr(joins, "HEAVY_SHARE", 3)
-    split = joins._split_join(left, right, ["k"])
-    assert sorted(map(tuple, split.select("id", "k", "v").collect()), key=str) == expected
-
-
-def test_bounded_local_measures_before_it_decides(spark):
-    df = spark.range(100).withColumn("s", F.lit("x" * 1000))
-    assert joins.bounded_local(df, max_rows=100).count() == 100
-    assert joins.bounded_local(df, max_rows=99) is None
-    assert joins.bounded_local(df, max_bytes=50_000) is None
+    values = {"hot": 1} | {f"k{i}": i + 2 for i in range(37)}
+    got = {r.id: r.v for r in joins.lookup_join(left, right, "k").collect()}
+    assert got == {i: values.get(k) for i, k in enumerate(keys)}

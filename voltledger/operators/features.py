@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from voltledger import settings as S
 from voltledger.operators import quantiles
-from voltledger.operators.joins import bounded_local, lookup_join
+from voltledger.operators.joins import lookup_join
+from voltledger.session import stage
 
 # One POWER price, a price per commodity, or a table (commodity, market_price).
 MarketPrice = float | Mapping[str, float] | DataFrame | None
@@ -48,21 +49,18 @@ def _nonzero(c: Column) -> Column:
 
 
 def book_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame | None:
-    """(column, entity, rows) for all ``columns`` in one pass, nulls included; None if too many entities."""
+    """(column, entity, rows) for all ``columns`` in one pass, nulls included, written once."""
     if not columns:
         return None
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("entity")) for c in columns])
     counted = df.select(F.explode(pairs).alias("e")).groupBy("e.column", "e.entity").agg(F.count("*").alias("rows"))
-    return bounded_local(counted)
+    return stage(counted, "entity-counts")
 
 
-def _counts_of(df: DataFrame, column: str, counts: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
-    """Rows per entity of ``column``, nulls included: as a plan, and as a local table if small."""
-    if counts is None:
-        plan = df.groupBy(F.col(column).cast("string").alias(column)).agg(F.count("*").alias("_held"))
-        return plan, bounded_local(plan)
-    few = counts.where(F.col("column") == column).select(F.col("entity").alias(column), F.col("rows").alias("_held"))
-    return few, few
+def _counts_of(df: DataFrame, column: str, counts: DataFrame | None) -> DataFrame:
+    """Rows per entity of ``column``, nulls included."""
+    counts = book_counts(df, [column]) if counts is None else counts
+    return counts.where(F.col("column") == column).select(F.col("entity").alias(column), F.col("rows").alias("_held"))
 
 
 def reference_price(df: DataFrame, market_price: MarketPrice = None, counts: DataFrame | None = None) -> DataFrame:
@@ -83,11 +81,8 @@ def reference_price(df: DataFrame, market_price: MarketPrice = None, counts: Dat
             level = S.DEFAULT_MARKET_LEVEL["POWER"] if level is None else level
         return df.withColumn("reference_price", F.lit(float(level or 1.0)))
 
-    plan, local = _counts_of(df, "commodity", counts)
-    sizes = plan if local is None else local
-    medians = quantiles.exact_quantiles(prices, "_price", ["commodity"], alias="_median", sizes=sizes.withColumnRenamed("_held", "_n"))
-    few = bounded_local(medians)
-    medians = medians if few is None else few
+    sizes = _counts_of(df, "commodity", counts)
+    medians = quantiles.exact_quantiles(prices, "_price", ["commodity"], alias="_median")
     known = _per_commodity(explicit)
     levels = sizes.join(medians, "commodity", "left")
     if table is not None:
@@ -95,7 +90,7 @@ def reference_price(df: DataFrame, market_price: MarketPrice = None, counts: Dat
         levels, known = levels.join(known_prices, "commodity", "left"), _nonzero(F.col("_known"))
     resolved = F.coalesce(known, _nonzero(F.col("_median")), _per_commodity(S.DEFAULT_MARKET_LEVEL)).alias("reference_price")
     # Rows that nothing else covers take the median of the whole book; that pass runs only if there are any.
-    levels = levels.select("commodity", resolved)
+    levels = stage(levels.select("commodity", resolved), "price-levels")
     missing = not levels.where(F.col("reference_price").isNull()).isEmpty()
     fallback = F.lit(float((global_median() if missing else None) or 1.0))
     return lookup_join(df, levels.where(F.col("commodity").isNotNull()), "commodity").withColumn(
@@ -106,14 +101,13 @@ def concentration(df: DataFrame, column: str, alias: str, counts: DataFrame | No
     """``df`` plus how many times its fair share of rows each entity holds (1.0 = equal split)."""
     if column not in df.columns:
         return df.withColumn(alias, F.lit(0.0))
-    plan, local = _counts_of(df, column, counts)
-    held = plan if local is None else local
+    held = _counts_of(df, column, counts)
     entities = held.agg(F.count(column)).scalar()
     total = held.agg(F.sum("_held")).scalar()
     ratio = F.try_divide(F.col("_held"), total) / F.try_divide(F.lit(1.0), entities)
     known = F.col(column).isNotNull()
     return (
-        lookup_join(df, plan.where(known), column, None if local is None else local.where(known))
+        lookup_join(df, held.where(known), column)
         .withColumn(alias, F.coalesce(ratio, F.lit(0.0))).drop("_held")
     )
 
@@ -162,26 +156,14 @@ def long_features(features: DataFrame) -> DataFrame:
 
 def feature_baseline(features: DataFrame) -> DataFrame:
     """(feature, mean, std, median) over the training batch."""
-    # Nine buffers share one task here, hence a lower limit for each.
-    limit = quantiles.DIRECT_LIMIT // 5
-    direct = features.count() <= limit
-    ends = ("_n", F.count), ("_lo", F.min), ("_hi", F.max)
     entries = [
-        F.struct(
-            F.lit(i).alias("_f"), F.lit(f).alias("feature"),
-            F.avg(f).alias("mean"), F.coalesce(F.stddev_samp(f), F.lit(0.0)).alias("std"),
-            *([F.percentile(f, F.lit(0.5)).alias("median")] if direct else [fn(f).alias(n) for n, fn in ends]),
-        )
+        F.struct(F.lit(i).alias("_f"), F.lit(f).alias("feature"), F.avg(f).alias("mean"),
+                 F.coalesce(F.stddev_samp(f), F.lit(0.0)).alias("std"))
         for i, f in enumerate(S.FEATURES)
     ]
     moments = features.agg(F.array(*entries).alias("all")).select(F.explode("all").alias("e")).select("e.*")
-    if direct:
-        return moments.drop("_f")
-    moments = bounded_local(moments)  # nine rows
-    sizes = moments.select(F.col("_f").alias("feature"), "_n", "_lo", "_hi")
-    medians = quantiles.exact_quantiles(
-        long_features(features), "value", ["feature"], alias="median", sizes=sizes, direct_limit=limit)
-    return moments.join(medians.withColumnRenamed("feature", "_f"), "_f").select("feature", "mean", "std", "median")
+    medians = quantiles.exact_quantiles(long_features(features), "value", ["feature"], alias="median")
+    return moments.join(medians.withColumnRenamed("feature", "_f"), "_f", "left").select("feature", "mean", "std", "median")
 
 
 def feature_means(features: DataFrame) -> DataFrame:

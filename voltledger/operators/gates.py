@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from voltledger import settings as S
 from voltledger.functions.contracts import MARKET_PRICES, TRADES, Contract, coerced, failures
-from voltledger.operators.joins import bounded_local, lookup_join
+from voltledger.operators.joins import lookup_join
 from voltledger.operators.quantiles import exact_quantiles
 from voltledger.session import stage
 
@@ -127,14 +127,12 @@ def robust_outliers(
     rows = df.select(*keys, F.when(usable, value).alias("x"))
     counted = rows.groupBy(*keys).agg(
         F.count("x").alias("_n"), F.coalesce(F.stddev_samp("x"), F.lit(0.0)).alias("_std"))
-    local = bounded_local(counted)
-    counted = counted if local is None else local
-    median = exact_quantiles(rows, "x", keys, alias="median", sizes=counted.select(*keys, "_n"))
+    median = stage(exact_quantiles(rows, "x", keys, alias="median"), "medians")
     rows = lookup_join(rows, median, keys).withColumn("dev", F.abs(F.col("x") - F.col("median")))
-    spread = exact_quantiles(rows, "dev", keys, alias="_mad", sizes=counted.select(*keys, "_n"))
+    spread = exact_quantiles(rows, "dev", keys, alias="_mad")
     spread = spread.join(counted, keys).select(
         *keys, F.when(F.col("_mad") > 0, F.col("_mad") * S.MAD_TO_SIGMA).otherwise(F.col("_std")).alias("scale"))
-    rows = lookup_join(rows, spread, keys)
+    rows = lookup_join(rows, stage(spread, "spreads"), keys)
     far = (F.col("scale") > 0) & (F.col("dev") / F.nullif("scale", F.lit(0.0)) > z)
     highest, lowest, median_ = F.max("x"), F.min("x"), F.max("median")
     out = (

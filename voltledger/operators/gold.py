@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from voltledger import settings as S
 from voltledger.functions import money
-from voltledger.operators.joins import bounded_local, lookup_join
+from voltledger.operators.joins import lookup_join
+from voltledger.session import stage
 
 
 def latest_price(prices: DataFrame) -> DataFrame:
@@ -18,9 +19,7 @@ def latest_price(prices: DataFrame) -> DataFrame:
     Two aggregations that send one row per task and commodity, instead of a window that
     would sort the prices.
     """
-    newest = prices.groupBy("commodity").agg(F.max("timestamp").alias("market_price_as_of"))
-    local = bounded_local(newest)
-    newest = newest if local is None else F.broadcast(local)
+    newest = stage(prices.groupBy("commodity").agg(F.max("timestamp").alias("market_price_as_of")), "newest")
     at_newest = prices.join(newest, "commodity").where(F.col("timestamp") == F.col("market_price_as_of"))
     return at_newest.groupBy("commodity").agg(
         F.min("price_eur_mwh").alias("latest_market_price"), F.max("timestamp").alias("market_price_as_of")
@@ -36,7 +35,8 @@ def fallback_price(
 
 def value_trades(trades: DataFrame, latest: DataFrame) -> DataFrame:
     """Trades with notional, mark-to-market and signed unrealised profit or loss in EUR."""
-    joined = lookup_join(trades, latest, "commodity")
+    # Written first: the planner then knows that it is small, and no trade is shuffled for it.
+    joined = lookup_join(trades, stage(latest, "latest-price"), "commodity")
     market = fallback_price(F.col("latest_market_price"), F.col("commodity"))
     volume, agreed, now = money.volume("volume_mw"), money.price("price_eur_mwh"), money.price("effective_market_price")
     pnl = (

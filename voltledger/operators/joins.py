@@ -1,65 +1,16 @@
-"""Equi-joins of a large table with a one-row-per-key table.
-
-The small side is broadcast only after its size has been measured.  When it is too
-large, keys that hold an outsized share of the left rows are joined apart from the
-rest, so no shuffle partition carries a hot key.
-"""
+"""Equi-joins of a large table with a one-row-per-key table."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-MAX_LOCAL_ROWS = 250_000
-MAX_LOCAL_BYTES = 32 * 1024 * 1024
-# A key is heavy above 1/HEAVY_SHARE of the left rows: fewer than HEAVY_SHARE such keys can exist.
-HEAVY_SHARE = 1000
-
-
-def bounded_local(
-    df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None
-) -> DataFrame | None:
-    """``df`` as a local relation if it is provably small, else None.
-
-    At most ``max_rows + 1`` rows ever leave the executors.
-    """
-    max_rows = MAX_LOCAL_ROWS if max_rows is None else max_rows
-    max_bytes = MAX_LOCAL_BYTES if max_bytes is None else max_bytes
-    table = df.limit(max_rows + 1).toArrow()
-    if table.num_rows > max_rows or table.nbytes > max_bytes:
-        return None
-    return df.sparkSession.createDataFrame(table, schema=df.schema)
 
 
-def lookup_join(
-    left: DataFrame, right: DataFrame, on: str | Sequence[str], local: DataFrame | None = None
-) -> DataFrame:
+def lookup_join(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Left outer join with ``right``, which holds at most one row per key.
 
-    ``local`` is ``bounded_local(right)`` where the caller has it already.
+    One plan at any size: adaptive execution broadcasts ``right`` once its measured size allows, and
+    otherwise splits the left partition of a hot (or null) key over several tasks.
     """
-    keys = [on] if isinstance(on, str) else list(on)
-    local = bounded_local(right) if local is None else local
-    if local is not None:
-        return left.join(F.broadcast(local), keys, "left")
-    return _split_join(left, right, keys)
-
-
-def _split_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    counts = left.groupBy(*keys).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    heavy = bounded_local(
-        counts.where((F.col("_n") * HEAVY_SHARE > total) & ~no_key).select(*keys, F.lit(True).alias("_heavy"))
-    )
-    right_heavy = bounded_local(right.join(F.broadcast(heavy.drop("_heavy")), keys, "left_semi"))
-    if right_heavy is None:
-        raise ValueError(f"lookup side is not unique on {keys}")
-    marked = left.join(F.broadcast(heavy), keys, "left")
-    apart = F.col("_heavy").isNotNull() | no_key
-    hot = marked.where(apart).drop("_heavy").join(F.broadcast(right_heavy), keys, "left")
-    cold = marked.where(~apart).drop("_heavy").join(right, keys, "left")
-    return hot.unionByName(cold)
+    return left.join(right, [on] if isinstance(on, str) else list(on), "left")

@@ -1,169 +1,49 @@
-"""Exact quantiles for groups of any size.
+"""Exact quantiles for groups of any size, all groups in one pass.
 
-Spark's ``percentile`` keeps every distinct value of a group in one buffer.  That is
-fine up to ``direct_limit`` rows.  Larger groups are solved by narrowing a value
-range: each pass counts rows per bin (map-side combined, a few thousand rows come
-back), keeps the bin that holds the wanted rank and repeats until the bin is small.
-No pass shuffles the rows themselves.
+Distinct values are counted (combined before the shuffle), range-partitioned by group and value
+and written once.  Sums per (group, partition) tell in which partition a group's rank lies; only
+those partitions are read again, and each numbers its own values.  No task holds a whole group,
+nothing is collected, and every size takes the same way with the same arithmetic.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-DIRECT_LIMIT = 250_000
-BINS = 2048
-GROUPS_PER_PASS = 256
+from voltledger.session import stage
 
 
-def exact_quantiles(
-    df: DataFrame,
-    value: str,
-    by: Sequence[str] = (),
-    p: float = 0.5,
-    alias: str = "quantile",
-    sizes: DataFrame | None = None,
-    direct_limit: int | None = None,
-    bins: int | None = None,
-) -> DataFrame:
+def exact_quantiles(df: DataFrame, value: str, by: Sequence[str] = (), p: float = 0.5, alias: str = "quantile") -> DataFrame:
     """Linear-interpolated quantile of ``value`` per group; null, NaN and null keys are left out.
 
-    ``sizes`` (keys..., ``_n`` values, and if known their ``_lo`` and ``_hi``) saves passes
-    where the caller has counted already.
+    Infinite values rank like any other.  Without ``by`` there is one row, null if there are no values.
     """
-    direct_limit = DIRECT_LIMIT if direct_limit is None else direct_limit
-    bins = BINS if bins is None else bins
     keys = list(by)
     x = F.col(value).cast("double")
     data = df.select(*keys, x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
     for k in keys:
         data = data.where(F.col(k).isNotNull())
-
-    if sizes is None:
-        sizes = data.groupBy(*keys).agg(F.count("_x").alias("_n"))
-    # At most (all rows / direct_limit) groups can be this large.
-    large = sizes.where(F.col("_n") > direct_limit).collect()
-    direct = F.percentile("_x", F.lit(p)).alias(alias)
-    if not large:
-        return data.groupBy(*keys).agg(direct)
-
-    solved = []
-    for start in range(0, len(large), GROUPS_PER_PASS):
-        solved += _narrow(data, keys, large[start : start + GROUPS_PER_PASS], p, direct_limit, bins)
-    schema = T.StructType([data.schema[k] for k in keys] + [T.StructField(alias, T.DoubleType())])
-    found = df.sparkSession.createDataFrame(solved, schema)
-    if not keys:
-        return found
-    rest = data.join(F.broadcast(found.select(*keys)), keys, "left_anti")
-    return found.unionByName(rest.groupBy(*keys).agg(direct))
-
-
-def _narrow(data, keys, groups, p, direct_limit, bins):
-    """Solve the given groups; returns rows (key..., quantile)."""
-    open_, done = {}, {}
-    if "_lo" not in groups[0]:
-        part = data
-        if keys:
-            few = data.sparkSession.createDataFrame(
-                [tuple(g[k] for k in keys) for g in groups], T.StructType([data.schema[k] for k in keys]))
-            part = data.join(F.broadcast(few), keys, "left_semi")
-        groups = part.groupBy(*keys).agg(
-            F.count("_x").alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi")).collect()
-    for g in groups:
-        rank = (g["_n"] - 1) * p
-        open_[tuple(g[k] for k in keys)] = {
-            "lo": g["_lo"], "hi": g["_hi"], "n": g["_n"],
-            "k": math.floor(rank), "step": math.ceil(rank) - math.floor(rank), "frac": rank - math.floor(rank),
-        }
-    while open_:
-        small = {g: s for g, s in open_.items() if s["n"] <= direct_limit or s["lo"] == s["hi"]}
-        if small:
-            for g, low, high in _read_ranks(data, keys, small):
-                done[g] = low + (high - low) * small[g]["frac"]
-            open_ = {g: s for g, s in open_.items() if g not in small}
-            continue
-        for g, bounds in _count_bins(data, keys, open_, bins).items():
-            state, below = open_[g], 0
-            for i, (n, lo, hi) in enumerate(bounds):
-                if below + n > state["k"]:
-                    break
-                below += n
-            last = state["k"] + state["step"]
-            if last >= below + n:  # the pair of middle values straddles two bins
-                done[g] = hi + (bounds[i + 1][1] - hi) * state["frac"]
-                del open_[g]
-            else:
-                state.update(lo=lo, hi=hi, n=n, k=state["k"] - below)
-    return [(*g, q) for g, q in done.items()]
-
-
-def _scale(x: float) -> float:
-    """A log-like scale, so that a far outlier cannot swallow the range of the bins."""
-    return math.copysign(math.log1p(abs(x)), x)
-
-
-def _ranges(data, keys, states):
-    """Rows of ``data`` inside the current range of their group, with that range attached.
-
-    ``_from`` and ``_width`` are the range on the log-like scale; the width is null where
-    that scale cannot tell the ends apart.
-    """
-    def bounds(s):
-        width = _scale(s["hi"]) - _scale(s["lo"])
-        usable = width > max(abs(_scale(s["lo"])), abs(_scale(s["hi"]))) * 1e-12
-        return s["lo"], s["hi"], _scale(s["lo"]), width if usable else None
-
-    names = ("_lo", "_hi", "_from", "_width")
-    if not keys:
-        (state,) = states.values()
-        literals = [F.lit(v).cast("double").alias(n) for n, v in zip(names, bounds(state))]
-        return data.where(F.col("_x").between(state["lo"], state["hi"])).select("_x", *literals)
-    schema = T.StructType([data.schema[k] for k in keys] + [T.StructField(c, T.DoubleType()) for c in names])
-    table = data.sparkSession.createDataFrame([(*g, *bounds(s)) for g, s in states.items()], schema)
-    return data.join(F.broadcast(table), keys).where(F.col("_x").between(F.col("_lo"), F.col("_hi")))
-
-
-def _count_bins(data, keys, states, bins):
-    """Per group the occupied bins in value order as (rows, min, max)."""
-    x, lo, hi = F.col("_x"), F.col("_lo"), F.col("_hi")
-    logged = (F.signum(x) * F.log1p(F.abs(x)) - F.col("_from")) / F.col("_width")
-    even = (x / 2 - lo / 2) / (hi / 2 - lo / 2)
-    # The ends are placed by comparison, so each pass is sure to shrink the range.
-    at = F.when(x == lo, 0.0).when(x == hi, 1.0).when(F.col("_width").isNotNull(), logged).otherwise(even)
-    bin_ = F.greatest(F.lit(0), F.least(F.floor(at * bins), F.lit(bins - 1))).alias("_bin")
-    rows = (
-        _ranges(data, keys, states).select(*keys, "_x", bin_)
-        .groupBy(*keys, "_bin")
-        .agg(F.count("*").alias("_n"), F.min("_x").alias("_min"), F.max("_x").alias("_max"))
-        .collect()  # at most GROUPS_PER_PASS x bins rows
-    )
-    out: dict[tuple, list] = {}
-    for r in sorted(rows, key=lambda r: r["_bin"]):
-        out.setdefault(tuple(r[k] for k in keys), []).append((r["_n"], r["_min"], r["_max"]))
-    return out
-
-
-def _read_ranks(data, keys, states):
-    """The two neighbouring order statistics of groups whose range is small or a single value."""
-    flat = {g: s for g, s in states.items() if s["lo"] == s["hi"]}
-    for g, s in flat.items():
-        yield g, s["lo"], s["lo"]
-    rest = {g: s for g, s in states.items() if g not in flat}
-    if not rest:
-        return
-    rows = _ranges(data, keys, rest).groupBy(*keys).agg(F.sort_array(F.collect_list("_x")).alias("_xs"))
-    schema = T.StructType([data.schema[k] for k in keys]
-                          + [T.StructField(c, T.IntegerType()) for c in ("_k0", "_k1")])
-    if keys:
-        table = data.sparkSession.createDataFrame([(*g, s["k"], s["k"] + s["step"]) for g, s in rest.items()], schema)
-        rows = rows.join(F.broadcast(table), keys)
-    else:
-        (s,) = rest.values()
-        rows = rows.select("_xs", F.lit(s["k"]).alias("_k0"), F.lit(s["k"] + s["step"]).alias("_k1"))
-    for r in rows.select(*keys, F.get("_xs", F.col("_k0")).alias("_a"), F.get("_xs", F.col("_k1")).alias("_b")).collect():
-        yield tuple(r[k] for k in keys), r["_a"], r["_b"]
+    counted = data.groupBy(*keys, "_x").agg(F.count("*").alias("_c"))
+    placed = stage(counted.repartitionByRange(*keys, "_x").withColumn("_part", F.spark_partition_id()), "quantile-values")
+
+    # One row per group and partition that holds some of it.
+    held = placed.groupBy(*keys, "_part").agg(F.sum("_c").alias("_n"))
+    group = Window.partitionBy(*(keys or [F.lit(0)]))
+    earlier = group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    rank = (F.sum("_n").over(group) - 1) * F.lit(p)
+    held = held.select(*keys, "_part", "_n", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"), rank.alias("_rank"))
+    wanted = held.where((F.col("_before") <= F.ceil("_rank")) & (F.col("_before") + F.col("_n") > F.floor("_rank"))).drop("_n")
+
+    upto = F.col("_before") + F.sum("_c").over(Window.partitionBy(*keys, "_part").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0))
+    numbered = placed.join(wanted, [*keys, "_part"]).select(*keys, "_x", "_rank", upto.alias("_to"), (upto - F.col("_c")).alias("_from"))
+
+    def at(k):
+        return F.max(F.when((F.col("_from") <= k) & (k < F.col("_to")), F.col("_x")))
+
+    found = numbered.groupBy(*keys).agg(
+        at(F.floor("_rank")).alias("_low"), at(F.ceil("_rank")).alias("_high"), F.max("_rank").alias("_rank"))
+    between = (F.ceil("_rank") - F.col("_rank")) * F.col("_low") + (F.col("_rank") - F.floor("_rank")) * F.col("_high")
+    return found.select(*keys, F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(between).alias(alias))
