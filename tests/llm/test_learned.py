@@ -79,7 +79,8 @@ def test_an_insult_counts_only_beside_a_group():
 
 
 ODD = [(1, None, "en"), (2, "", "en"), (3, "   \n", None), (None, "some words here", "en"), (4, "w " * 60_000, "de"), (5, "!!! 123", "de"),
-       (6, "same same", "en"), (6, "same same", "en"), (7, "日本語のテキスト", None)]
+       (6, "same same", "en"), (6, "same same", "en"), (7, "日本語のテキスト", None),
+       (8, "words of one kind", "en"), (9, "wörter anderer art", "de")]  # the last two are in the learning fold
 
 
 @pytest.fixture(scope="module")
