@@ -218,6 +218,14 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
         session._own_folder(remote)
 
 
+def test_lake_listing_names_what_exists(spark, tmp_path):
+    assert serving.list_lake(spark, str(tmp_path)).isEmpty()
+    spark.range(3).write.parquet(f"{tmp_path}/3_gold/trades_pnl")
+    spark.range(2).selectExpr("id AS n", "'x' AS risk_band").write.parquet(f"{tmp_path}/3_gold/trade_surveillance/run=1")
+    assert {tuple(r) for r in serving.list_lake(spark, str(tmp_path)).collect()} == {
+        ("trades_pnl", "id (bigint)", 3), ("trade_surveillance", "n (bigint), risk_band (string)", 2)}
+
+
 def test_serving_lists(spark):
     scored = spark.createDataFrame(
         [("A", 0.9, True, "CRITICAL"), ("B", 0.9, False, "CRITICAL"), ("C", 0.4, True, "MEDIUM"), ("D", 0.1, False, "LOW")],

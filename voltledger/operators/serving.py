@@ -45,6 +45,13 @@ def list_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
     ])
 
 
+def list_lake(spark: SparkSession, root: str) -> DataFrame:
+    """(name, columns, rows) of the Gold tables that exist below a lake root."""
+    paths = {name: dataset_path(root, name) for name in S.GOLD_DATASETS}
+    found = {name: spark.read.option("recursiveFileLookup", True).parquet(p) for name, p in paths.items() if exists(spark, p)}
+    return list_tables(found) if found else spark.createDataFrame([], "name string, columns string, rows long")
+
+
 def top_counterparty_exposure(risk: DataFrame, limit: int = 10) -> DataFrame:
     return (
         risk.select("counterparty", "commodity", "trade_count", "total_notional_eur", "total_mtm_eur", "net_unrealized_pnl_eur")

@@ -79,10 +79,13 @@ def price_range(spark, sf_dir):
     return M.market_prices(spark, sf_dir).agg(F.min("price_eur_mwh").alias("min_price"), F.max("price_eur_mwh").alias("max_price"))
 
 
-@query(" UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS rows FROM {t}" for t in ("customer", "events", "lineitem", "orders", "part", "supplier")))
+ALL_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
+              "benchmark", "labels", "conversations")
+
+
+@query(" UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS rows FROM {t}" for t in ALL_TABLES))
 def row_counts(spark, sf_dir):
-    names = ("customer", "events", "lineitem", "orders", "part", "supplier")
-    return serving.list_tables({t: M.table(spark, sf_dir, t) for t in names}).drop("columns")
+    return serving.list_tables({t: M.table(spark, sf_dir, t) for t in ALL_TABLES}).drop("columns")
 
 
 @query(Q.with_(Q.RISK, """SELECT counterparty, commodity, CASE WHEN abs(total_notional_eur) >= 1e9 THEN printf('€%.2fB', total_notional_eur / 1e9)

@@ -12,6 +12,7 @@ from voltledger.plans.catalog import query
 from voltledger.plans.surrogate import surrogate_scored
 from voltledger.session import scratch_path, stage
 from voltledger.sources import sinks
+from voltledger.sources.tables import dataset_path
 
 
 def _scored(spark, sf_dir):
@@ -118,22 +119,37 @@ def row_cap(spark, sf_dir):
     return serving.capped(stage(risk, "risk"), [F.desc("total_notional_eur"), "counterparty", "commodity"])
 
 
-@query(Q.with_(Q.PORTFOLIO, """SELECT 'counterparty_risk' AS name, 'counterparty (string), commodity (string), trade_count (bigint), total_volume_mw (double), total_notional_eur (double), total_mtm_eur (double), net_unrealized_pnl_eur (double)' AS columns,
-(SELECT count(*) FROM (SELECT DISTINCT counterparty, commodity FROM pnl)) AS rows
-UNION ALL SELECT 'portfolio_summary', 'commodity (string), total_trades (bigint), net_volume_mw (double), portfolio_notional_eur (double), total_portfolio_pnl_eur (double)', (SELECT count(*) FROM portfolio)"""))
+_LAKE = f"{Q.SCORED},\n{Q.PORTFOLIO.removeprefix(Q.SILVER + ',')}"
+
+
+def _write_lake(spark, sf_dir) -> str:
+    """The four Gold tables below a lake root."""
+    out = scratch_path(spark, "lake")
+    trades = stage(M.silver_trades(spark, sf_dir), "silver")
+    pnl = stage(M.valued_trades(spark, sf_dir, trades), "gold")
+    tables = {"trades_pnl": pnl, "counterparty_risk": gold.counterparty_risk(pnl), "portfolio_summary": gold.portfolio_summary(pnl),
+              "trade_surveillance": surrogate_scored(spark, sf_dir, trades)}
+    for name, df in tables.items():
+        df.write.parquet(dataset_path(out, name))
+    return out
+
+
+@query(Q.with_(_LAKE, """SELECT 'trades_pnl' AS name, (SELECT count(*) FROM pnl) AS rows UNION ALL SELECT 'counterparty_risk', (SELECT count(*) FROM (SELECT DISTINCT counterparty, commodity FROM pnl))
+UNION ALL SELECT 'portfolio_summary', (SELECT count(*) FROM portfolio) UNION ALL SELECT 'trade_surveillance', (SELECT count(*) FROM scored)"""))
 def catalog_listing(spark, sf_dir):
-    pnl = stage(M.valued_trades(spark, sf_dir), "gold")
-    return serving.list_tables({"counterparty_risk": gold.counterparty_risk(pnl), "portfolio_summary": gold.portfolio_summary(pnl)})
+    """All Gold tables of a lake; their columns are in the operator's answer and in its tests."""
+    return serving.list_lake(spark, _write_lake(spark, sf_dir)).drop("columns")
 
 
-@query(Q.with_(Q.PORTFOLIO, "SELECT commodity, total_trades, total_portfolio_pnl_eur FROM portfolio WHERE total_trades >= 1"))
+@query(Q.with_(_LAKE, """SELECT commodity, total_trades, total_portfolio_pnl_eur, (SELECT count(*) FROM (SELECT DISTINCT counterparty, commodity FROM pnl)) AS books,
+(SELECT count(*) FROM pnl) AS trades, (SELECT count(*) FROM scored WHERE is_anomaly) AS alerts, false AS truncated FROM portfolio WHERE total_trades >= 1"""))
 def adhoc_statement(spark, sf_dir):
-    """A guarded statement with a parameter over stored Gold tables."""
-    out = scratch_path(spark, "gold")
-    gold.portfolio_summary(M.valued_trades(spark, sf_dir)).write.parquet(f"{out}/3_gold/portfolio_summary")
-    rows, _ = serving.query_data(
-        spark, out, "SELECT commodity, total_trades, total_portfolio_pnl_eur FROM portfolio_summary WHERE total_trades >= :least", {"least": 1})
-    return rows
+    """A guarded statement with a parameter over all stored Gold tables, and whether there were more rows."""
+    rows, more = serving.query_data(
+        spark, _write_lake(spark, sf_dir), """SELECT commodity, total_trades, total_portfolio_pnl_eur, (SELECT count(*) FROM counterparty_risk) AS books,
+        (SELECT count(*) FROM trades_pnl) AS trades, (SELECT count(*) FROM trade_surveillance WHERE is_anomaly) AS alerts
+        FROM portfolio_summary WHERE total_trades >= :least""", {"least": 1})
+    return rows.withColumn("truncated", F.lit(more))
 
 
 @query(Q.with_(Q.SCORED, """SELECT 'market rows accepted' AS measure, CAST((SELECT count(*) FROM events WHERE value BETWEEN -500 AND 4000) AS DOUBLE) AS value
