@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltledger.session import scratch_path, ship_package
+from voltledger.session import scratch_path, ship_package, stage
 
 # Fixed values of the formats.
 DICT_MAGIC, FILLER_MAGIC = 0x184D2A5D, 0x184D2A50
@@ -166,8 +166,9 @@ def write_archives(pages: DataFrame, path: str, min_revisit_bytes: int = 0, date
 
     keys = rows.where(F.length("payload") >= min_revisit_bytes).select("key", "page_id", "sha1")
     shared = keys.groupBy("sha1").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    # The records that share a payload, once each: narrow rows, copies spread by page.
-    first = keys.join(shared, "sha1").select("key", F.struct(F.col("first").alias("page_id")).alias("first")).distinct()
+    # The records that share a payload, once each: narrow rows, copies spread by page.  Written, so
+    # that the join below is planned once, with known sizes, and deals no payload a second time.
+    first = stage(keys.join(shared, "sha1").select("key", F.struct(F.col("first").alias("page_id")).alias("first")).distinct(), "first-pages")
 
     total = rows.agg(F.sum(F.length("payload"))).first()[0] or 0
     archives = max(1, -(-total // archive_bytes))
