@@ -40,7 +40,7 @@ from voltledger.session import ship_package, stage
 REGIONS = 64
 SHARD = 8192
 QUERY_BLOCK = 1024
-FANOUT, LEAF = 16, 48
+FANOUT, LEAF = 16, 256
 # Scores are whole numbers; bounds from distances are widened by this much.
 SLACK = 0.25
 
@@ -161,7 +161,10 @@ class Tree:
             at = np.flatnonzero(open_)
             computed += len(at)
             if leaf:
-                for score, vec_id in zip((vectors[at] @ q).tolist(), ids[at].tolist(), strict=True):
+                scores = vectors[at] @ q
+                if bar is not None:
+                    at, scores = at[scores >= bar[0]], scores[scores >= bar[0]]
+                for score, vec_id in zip(scores.tolist(), ids[at].tolist(), strict=True):
                     one = (score, -vec_id)
                     if vec_id == query_id or (bar is not None and one <= bar):
                         continue
