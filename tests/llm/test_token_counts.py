@@ -62,3 +62,26 @@ def test_empty_table_and_wrong_rule(spark):
     assert token_counts.section_tokens(df).collect() == []
     with pytest.raises(ValueError):
         token_counts.section_tokens(df, "half")
+
+
+def test_long_runs_are_cut_by_the_rule_of_the_pattern(monkeypatch):
+    encoder = tokens.ByteEncoder(tokens.tokenizer_path(tokens.BYTE_VOCAB))
+    runs = [" ", "\t", "\n", " \n", "\u3000", "\r\n\x85"]
+    texts = [a + run * n + b for a in ("", "word", "\x1c") for run in runs for n in (40, 150) for b in ("", "x", "!", "\x1c", " tail" + run * 90)]
+    whole = [encoder._encoding.encode_ordinary(t) for t in texts]
+    monkeypatch.setattr(tokens, "LONG_BLANKS", 30)
+    monkeypatch.setattr(tokens, "_LONG_BLANKS", tokens.regex.compile(tokens._LONG_BLANKS.pattern.replace("100001", "31")))
+    for text, ids in zip(texts, whole, strict=True):
+        assert encoder.ids(text).tolist() == ids
+
+
+def test_runs_of_a_million_blanks(spark):
+    n = 1_200_000
+    texts = [a + c * n + b for c in " \t\n" for a, b in (("word", ""), ("word", "x"))] + [" " * n + "\n" + "\t" * n + "end"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    rows = token_counts.section_tokens(df, "largest").groupBy("doc_id").agg(
+        {"n_tokens": "sum", "end_byte": "max", "doc_tokens": "max", "section": "count"}).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert r["sum(n_tokens)"] == r["max(doc_tokens)"] > 0 and r["max(end_byte)"] == len(texts[r.doc_id])
+    assert {r.doc_id: r["count(section)"] for r in rows}[5] == n + 1

@@ -24,6 +24,10 @@ _TWO_MARKS = re.compile(r"(?:[^\w\s]|_){2}")
 # Fixed values of the vocabulary: its pre-token pattern and its mark for the end of a word.
 _PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 _WORD_END = "</w>"
+# White space of public_tokenizers.PATTERN.  Its part \s+(?!\S) keeps one place per character to go back to
+# and fails at a million of them; longer runs than this are cut out before the pattern sees them.
+LONG_BLANKS = 100_000
+_LONG_BLANKS = regex.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}+" % (LONG_BLANKS + 1))
 
 
 def tokenizer_path(name: str) -> str:
@@ -120,9 +124,23 @@ class ByteEncoder:
         for token, rank in ranks.items():
             self._lengths[rank] = len(token)
 
+    def ids(self, text: str) -> np.ndarray:
+        """Ids of the whole text.
+
+        A very long run of white space is a pre-token without its last character where something
+        follows, and as a whole at the end of the text, so it can be encoded apart.
+        """
+        held, start = [], 0
+        for run in _LONG_BLANKS.finditer(text) if len(text) > LONG_BLANKS else ():
+            stop = run.end() - (run.end() < len(text))
+            held += self._encoding.encode_ordinary(text[start : run.start()])
+            held += self._encoding._encode_single_piece(text[run.start() : stop])
+            start = stop
+        return np.asarray(held + self._encoding.encode_ordinary(text[start:]), dtype=np.int64)
+
     def spans(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Start and end of every token in the text's UTF-8 bytes."""
-        ids = np.asarray(self._encoding.encode_ordinary(text), dtype=np.int64)
+        ids = self.ids(text)
         ends = np.cumsum(self._lengths[ids])
         return ends - self._lengths[ids], ends
 
