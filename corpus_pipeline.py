@@ -40,7 +40,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of packed sequences."""
-    return packing.pack(docs)
+    return packing.pack(docs, added_tokens=True)
 
 
 STAGES = [

@@ -118,3 +118,34 @@ def test_word_encoder_equals_the_tokenizer():
     texts += ["".join(rnd.choice(letters) for _ in range(rnd.randrange(30))) for _ in range(3000)]
     for text, ids in zip(texts, ours.encode(texts), strict=True):
         assert np.frombuffer(ids, dtype="<u4").tolist() == encode(text), text
+
+
+MARKED = ["a <|endoftext|> b", "É<|startoftext|>\u0301x <|ENDOFTEXT|>", "<|endoftext|><|endoftext|>'s", "<|endoftext|", "x<|startoftext|>", "ΑΣ<|endoftext|>"]
+
+
+def test_added_tokens_are_those_of_the_file():
+    file, ours = Tokenizer.from_file(PATH), tokens.WordEncoder(PATH, added=True)
+    rnd = random.Random(5)
+    bits = ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|", "endoftext", "|>", " ", "\n", "é", "\u0301", "Σ", "it's", "3,5", "."]
+    texts = MARKED + ["", "plain"] + ["".join(rnd.choice(bits) for _ in range(rnd.randrange(12))) for _ in range(3000)]
+    for text, ids in zip(texts, ours.encode(texts), strict=True):
+        assert np.frombuffer(ids, dtype="<u4").tolist() == file.encode(text, add_special_tokens=False).ids, text
+
+
+@pytest.mark.parametrize("which", ["op8", "pipeline"])
+def test_queries_give_the_ids_of_the_file(spark, tmp_path, which):
+    import corpus_pipeline
+    from voltledger.llm import packing_queries
+
+    df = frame(spark, [(i, "s", t) for i, t in enumerate(MARKED)])
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    got = packing_queries.op8_mixture_packing(spark, str(tmp_path)) if which == "op8" else corpus_pipeline.pack(spark, df, "")
+    file, pieces = Tokenizer.from_file(PATH), defaultdict(list)
+    for p in got.collect():
+        pieces[p.doc_id].append(p)
+    for i, text in enumerate(MARKED):
+        ids = [*file.encode(text, add_special_tokens=False).ids, packing.END_ID]
+        for p in pieces[i]:
+            assert p.doc_tokens == len(ids)
+            assert p.ids_crc32 == zlib.crc32(np.array(ids[p.start : p.start + p.length], dtype="<u4").tobytes())
+        assert sum(p.length for p in pieces[i]) == len(ids)

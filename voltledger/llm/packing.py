@@ -46,11 +46,11 @@ _PIECES = ("doc_id long, source string, start long, length long, ids_crc32 long,
            "sequence_id long, offset long")
 
 
-def _tokenize(path: str, end_id: int):
+def _tokenize(path: str, end_id: int, added: bool):
     end = np.asarray([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokens.word_encoder(path)
+        encoder = tokens.word_encoder(path, added)
         part, sent = TaskContext.get().partitionId(), {}
         for batch in batches:
             texts, sources = batch.column("text").to_pylist(), batch.column("source").to_pylist()
@@ -158,14 +158,18 @@ def _place(rounds: Rounds):
 
 
 def pack(docs: DataFrame, tokenizer: str | None = None, seq_len: int = SEQ_LEN, end_id: int = END_ID,
-         max_queues: int = MAX_QUEUES) -> DataFrame:
-    """One row per piece of a document: where its tokens stand in the packed sequences."""
+         max_queues: int = MAX_QUEUES, added_tokens: bool = False) -> DataFrame:
+    """One row per piece of a document: where its tokens stand in the packed sequences.
+
+    With ``added_tokens`` ids are those of the tokenizer file with add_special_tokens=False and nothing
+    else: the strings of its added tokens in a text become their ids.  Without, they are ordinary text.
+    """
     spark = docs.sparkSession
     ship_package(spark)
     path = tokenizer or tokens.tokenizer_path(tokens.WORD_VOCAB)
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
                          F.col("text").cast("string").alias("text"))
-    coded = stage(narrow.mapInArrow(_tokenize(path, end_id), _TOKENS), "tokens")
+    coded = stage(narrow.mapInArrow(_tokenize(path, end_id, added_tokens), _TOKENS), "tokens")
 
     by_task = stage(coded.groupBy("source", "part").agg(F.sum("n").alias("n")), "token-sums")
     by_source = by_task.groupBy("source").agg(F.sum("n").alias("n"))

@@ -10,4 +10,4 @@ from voltledger.llm.catalog import query, table
 
 @query()
 def op8_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
+    return packing.pack(table(spark, sf_dir, "documents"), added_tokens=True)

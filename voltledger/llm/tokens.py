@@ -50,17 +50,29 @@ class WordEncoder(dict):
     words in order, and every word is encoded once.  Merges run in the same vocabulary read as
     byte ranks, with byte 0 for the mark at a word's end, which costs far less per word than a
     call of the tokenizer.  Words with letters beyond U+024F or with byte 0 go to the tokenizer.
+
+    With ``added`` the ids are those of the tokenizer file as it is: a text is cut at the strings of
+    its added tokens before anything else, and each stands for its one id.  Without, these strings are
+    ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         import tiktoken
         from tokenizers import Tokenizer
 
         super().__init__()
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # Their strings in a word are ordinary text: those of a text are cut out before it is lowered.
+        self._tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as file:
-            model = json.load(file)["model"]
+            whole = json.load(file)
+        model = whole["model"]
+        marks = whole.get("added_tokens") or [] if added else []
+        if any(m[flag] for m in marks for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError("added tokens that take more than their own string are not known here")
+        self._added = {m["content"]: struct.pack("<I", m["id"]) for m in marks}
+        longest = sorted(self._added, key=len, reverse=True)
+        self._cut = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if marks else None
         byte_of, ranks, by_name = _byte_of(), {}, model["vocab"]
         for token, rank in by_name.items():
             end = token.endswith(_WORD_END)
@@ -102,12 +114,21 @@ class WordEncoder(dict):
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text its ids as little-endian unsigned 32-bit numbers."""
         get = self.__getitem__
-        return [b"".join(map(get, self._words(t))) for t in texts]
+        if self._cut is None:
+            return [b"".join(map(get, self._words(t))) for t in texts]
+        found = []
+        for text in texts:
+            first, *others = self._cut.split(text)
+            ids = b"".join(map(get, self._words(first)))
+            for mark, part in zip(others[::2], others[1::2], strict=True):
+                ids += self._added[mark] + b"".join(map(get, self._words(part)))
+            found.append(ids)
+        return found
 
 
 @lru_cache(maxsize=2)
-def word_encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+def word_encoder(path: str, added: bool = False) -> WordEncoder:
+    return WordEncoder(path, added)
 
 
 class ByteEncoder:
