@@ -87,6 +87,16 @@ def test_one_of_each_class_stays(spark):
     assert kept.count() == len(expected)
 
 
+def test_repeated_rows_are_verified_once(spark, monkeypatch):
+    base = near_copies(4, 30)
+    rows = base + [base[0]] * 150 + [(None, base[1][1])] * 150
+    seen, plain = [], jaccard._block_pairs
+    monkeypatch.setattr(jaccard, "_block_pairs", lambda df, *a: (seen.append(df), plain(df, *a))[1])
+    assert ours(spark, rows) == brute(rows)
+    texts = [df for df in seen if "text" in df.columns][0]
+    assert texts.count() == texts.select("cid").distinct().count() > 10
+
+
 def test_real_documents(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = [tuple(r) for r in df.select("doc_id", "text").collect()]

@@ -295,8 +295,8 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLER
     candidates = stage(candidates.select(F.col("node").alias("cid"), F.col("root").alias("comp")), "candidates")
     sizes = candidates.groupBy("comp").agg(F.count("*").alias("n"))
     wanted = candidates.join(sizes, "comp").join(reps.select("cid", "k", "copies", "sig"), "cid")
-    # Both sides grow with the corpus: a shuffle join at every size.
-    with_text = named.select("k", "text").join(wanted.hint("merge"), "k").drop("k")
+    # Both sides grow with the corpus: a shuffle join at every size.  Repeated rows have one k; each task sends one of them.
+    with_text = named.select("k", "text").dropDuplicates(["k"]).join(wanted.hint("merge"), "k").drop("k")
     compared = _block_pairs(with_text, "n", block).repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j")
     verified = stage(compared.select("comp", "i", "j", "block", "cid", "copies", "sig", "text").mapInArrow(
         _verify(least, threshold), "cid long, links long, root long"), "links")
