@@ -149,3 +149,60 @@ def test_queries_give_the_ids_of_the_file(spark, tmp_path, which):
             assert p.doc_tokens == len(ids)
             assert p.ids_crc32 == zlib.crc32(np.array(ids[p.start : p.start + p.length], dtype="<u4").tobytes())
         assert sum(p.length for p in pieces[i]) == len(ids)
+
+
+def many_sources():
+    rnd = random.Random(8)
+    return [(i, f"s{i % 12}" if i % 12 else None, " ".join(["some", "words"] * rnd.randrange(40, 60))) for i in range(240)]
+
+
+def held_and_total(rows, windows):
+    total = Counter()
+    for _, source, text in rows:
+        total[source] += len(plain()(text)) + 1
+    full = [ps for _, ps in sorted(windows.items()) if sum(p.length for p in ps) == 256]
+    assert len(full) > 50
+    return total, [{source: sum(p.length for p in ps if p.source == source) for source in total} for ps in full]
+
+
+def test_sources_beyond_the_queues_keep_their_proportions(spark):
+    rows = many_sources()
+    total, windows = held_and_total(rows, check(spark, rows, seq_len=256, max_queues=3))
+    everything = sum(total.values())
+    done = Counter()
+    for i, held in enumerate(windows):
+        done.update(held)
+    for source, n in total.items():
+        assert abs(done[source] - n) <= 256
+    # The shared queue goes round within 256 tokens of its own, so four windows hold every source.
+    for start in range(0, len(windows) - 4):
+        for source, n in total.items():
+            share = sum(w[source] for w in windows[start : start + 4]) / 1024
+            assert 0.5 * n / everything < share < 1.6 * n / everything
+
+
+@pytest.mark.parametrize("max_queues", [3, 100])
+def test_target_shares_hold_until_a_queue_is_empty(spark, max_queues):
+    rows = many_sources()
+    total, windows = held_and_total(rows, check(spark, rows, seq_len=256, max_queues=max_queues, shares={"s1": 0.5, None: 0.25}))
+    until = int(total["s1"] / 128) - 1
+    for held in windows[:until]:
+        assert abs(held["s1"] - 128) <= 4 and abs(held[None] - 64) <= 4
+    with pytest.raises(ValueError):
+        packing.pack(frame(spark, rows), shares={"s1": 1.0}).count()
+
+
+def test_targets_agree_with_a_simulation():
+    sizes, weights, seq_len = [1000, 70, 333], [1, 3, 2], 50
+    rounds = packing.Rounds(sizes, seq_len, weights)
+    sent, stream, r = [0] * 3, [], 0
+    while len(stream) < sum(sizes):
+        r += 1
+        for q in range(3):
+            now = min(sizes[q], weights[q] * seq_len * r // 6)
+            stream += [(q, i) for i in range(sent[q], now)]
+            sent[q] = now
+    place = {x: i for i, x in enumerate(stream)}
+    for q, size in enumerate(sizes):
+        spots = [p + i for p, length in rounds.runs(q, 0, size) for i in range(length)]
+        assert spots == [place[q, i] for i in range(size)]

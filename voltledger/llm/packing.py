@@ -14,8 +14,13 @@ The tokens that do not fill a last sequence are cut into sequences whose lengths
 
 Steps: tokens are written once with the place of each document among its task's documents of that
 source; small per-(task, source) sums give every document its place in its queue; pieces are
-computed inside tasks.  The queue sizes are one number per queue: at most ``max_queues`` sources
-have their own, all others share a last queue in which their documents follow one another.
+computed inside tasks.  At most ``max_queues`` sources have their own queue, whose sizes tasks hold
+in memory.  All others share a last queue, which is dealt by the same rule in rounds of its own: its
+runs get their place in it by a range-partitioned sort over a written table, whatever their number.
+
+With target ``shares`` a named queue earns ``seq_len x share`` a round instead; sources without one
+divide what the named leave, by their tokens.  A queue that has run empty earns nothing more, and the
+others go on in the proportion of their shares, so every token is packed.
 
 Defined results: null or empty text is the end token alone; null source is a source; null doc_id
 and repeated rows are documents of their own; an empty table gives no pieces; other columns are
@@ -26,6 +31,8 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from fractions import Fraction
+from math import lcm
 
 import numpy as np
 import pyarrow as pa
@@ -79,18 +86,20 @@ def _tokenize(path: str, end_id: int, added: bool):
 class Rounds:
     """Where tokens of a queue stand in the round-robin stream."""
 
-    def __init__(self, sizes: list[int], seq_len: int):
+    def __init__(self, sizes: list[int], seq_len: int, weights: list[int] | None = None):
         self.sizes, self.total, self.seq_len = [int(x) for x in sizes], int(sum(sizes)), seq_len
+        self.weights = weights or self.sizes
+        self.whole = sum(self.weights)
         self._lines: dict[int, list[tuple[int, int, int]]] = {}
 
     def sent(self, queue: int, r: int) -> int:
         """Tokens that ``queue`` has sent before round r."""
-        return min(self.sizes[queue], self.sizes[queue] * self.seq_len * r // self.total)
+        return min(self.sizes[queue], self.weights[queue] * self.seq_len * r // self.whole)
 
     def round_of(self, queue: int, at: int) -> int:
         """The round in which ``queue`` sends its token ``at``: the last r with sent(r) <= at."""
-        # sent(r) <= at  <=>  sizes * seq_len * r < (at + 1) * total
-        return ((at + 1) * self.total - 1) // (self.sizes[queue] * self.seq_len)
+        # sent(r) <= at  <=>  weight * seq_len * r < (at + 1) * whole
+        return ((at + 1) * self.whole - 1) // (self.weights[queue] * self.seq_len)
 
     def line(self, r: int) -> list[tuple[int, int, int]]:
         """Per queue: its place in the stream in round r, tokens sent before and after that round."""
@@ -108,14 +117,12 @@ class Rounds:
 
     def runs(self, queue: int, at: int, n: int) -> Iterator[tuple[int, int]]:
         """(place in the stream, length) of the runs that tokens at .. at+n-1 of a queue form."""
-        r, end = self.round_of(queue, at), at + n
+        end = at + n
         while at < end:
-            place, before, after = self.line(r)[queue]
+            place, before, after = self.line(self.round_of(queue, at))[queue]
             stop = min(end, after)
-            if stop > at:
-                yield place + at - before, stop - at
-                at = stop
-            r += 1
+            yield place + at - before, stop - at
+            at = stop
 
     def cut(self, place: int, length: int) -> Iterator[tuple[int, int, int]]:
         """(sequence, offset in it, length) of a stretch of the stream."""
@@ -140,13 +147,13 @@ def _place(rounds: Rounds):
         types = [pa.int64(), pa.string()] + [pa.int64()] * 6
         out: list[tuple] = []
         for batch in batches:
-            for doc_id, source, queue, before, n, ids in zip(
-                    *(batch.column(c).to_pylist() for c in ("doc_id", "source", "queue", "before", "n", "ids")), strict=True):
+            for doc_id, source, queue, before, skip, n, ids in zip(
+                    *(batch.column(c).to_pylist() for c in ("doc_id", "source", "queue", "before", "skip", "n", "ids")), strict=True):
                 done, view = 0, memoryview(ids)
-                for place, length in rounds.runs(queue, before, n):
+                for place, length in rounds.runs(queue, before, len(ids) // 4):
                     for sequence, offset, take in rounds.cut(place, length):
                         crc = zlib.crc32(view[4 * done : 4 * (done + take)])
-                        out.append((doc_id, source, done, take, crc, n, sequence, offset))
+                        out.append((doc_id, source, skip + done, take, crc, n, sequence, offset))
                         done += take
                 if len(out) >= 50_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
@@ -157,13 +164,87 @@ def _place(rounds: Rounds):
     return run
 
 
+_RUNS = "r long, source string, before long, doc_id long, skip long, n long, ids binary"
+_SORTED = "p int, start long, doc_id long, source string, skip long, n long, ids binary"
+
+
+def _shared_runs(total: int, seq_len: int):
+    """The runs that documents of the shared queue form in its own rounds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["r", "source", "before", "doc_id", "skip", "n", "ids"]
+        types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        out: list[tuple] = []
+        for batch in batches:
+            for doc_id, source, size, at, n, ids in zip(
+                    *(batch.column(c).to_pylist() for c in ("doc_id", "source", "size", "before", "n", "ids")), strict=True):
+                done = 0
+                while done < n:
+                    r = ((at + done + 1) * total - 1) // (size * seq_len)
+                    stop = min(n, size * seq_len * (r + 1) // total - at)
+                    out.append((r, source, at + done, doc_id, done, n, ids[4 * done : 4 * stop]))
+                    done = stop
+                if len(out) >= 50_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+                    out = []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+
+    return run
+
+
+def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per run the tokens before it in its partition."""
+    part, done = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        n = np.array([len(x) // 4 for x in batch.column("ids").to_pylist()], dtype=np.int64)
+        starts = done + np.cumsum(n) - n
+        done += int(n.sum())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([part] * len(n), pa.int32()), pa.array(starts), *(batch.column(c) for c in ("doc_id", "source", "skip", "n", "ids"))],
+            names=["p", "start", "doc_id", "source", "skip", "n", "ids"])
+
+
+def _shared_queue(docs: DataFrame, total: int, seq_len: int, queue: int) -> DataFrame:
+    """Runs of the sources without a queue of their own, with their place in the queue they share."""
+    order = [F.asc_nulls_first(c) for c in ("r", "source", "before")]
+    runs = stage(docs.mapInArrow(_shared_runs(total, seq_len), _RUNS), "shared-runs")
+    placed = stage(runs.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_number, _SORTED), "shared-order")
+    # One number per partition of the sort.
+    sums = {r["p"]: r["n"] for r in placed.groupBy("p").agg(F.sum(F.length("ids") / 4).cast("long").alias("n")).collect()}
+    bases, done = [], 0
+    for p in sorted(sums):
+        bases.append((p, done))
+        done += sums[p]
+    first = F.broadcast(docs.sparkSession.createDataFrame(bases, "p int, base long"))
+    return placed.join(first, "p").select("doc_id", "source", F.lit(queue).alias("queue"), (F.col("start") + F.col("base")).alias("before"),
+                                          "skip", "n", "ids")
+
+
+def _weights(sources: list[str | None], sizes: list[int], shares: dict[str | None, float]) -> list[int]:
+    """Whole numbers in the proportion of the targets; sizes beyond the sources are of the queue they share."""
+    exact = {k: Fraction(v).limit_denominator(10**9) for k, v in shares.items()}
+    free = sum(n for i, n in enumerate(sizes) if i >= len(sources) or sources[i] not in exact)
+    left = 1 - sum(exact.values())
+    if min(exact.values()) <= 0 or left < 0 or (free and not left):
+        raise ValueError("shares must be above 0, sum to at most 1 and leave something to sources that are not named")
+    found = [exact[sources[i]] if i < len(sources) and sources[i] in exact else left * n / free for i, n in enumerate(sizes)]
+    scale = lcm(*(x.denominator for x in found))
+    return [int(x * scale) for x in found]
+
+
 def pack(docs: DataFrame, tokenizer: str | None = None, seq_len: int = SEQ_LEN, end_id: int = END_ID,
-         max_queues: int = MAX_QUEUES, added_tokens: bool = False) -> DataFrame:
+         max_queues: int = MAX_QUEUES, added_tokens: bool = False,
+         shares: dict[str | None, float] | None = None) -> DataFrame:
     """One row per piece of a document: where its tokens stand in the packed sequences.
 
     With ``added_tokens`` ids are those of the tokenizer file with add_special_tokens=False and nothing
     else: the strings of its added tokens in a text become their ids.  Without, they are ordinary text.
+    ``shares`` are target shares of sources (at most ``max_queues``); without, each has its share of all tokens.
     """
+    shares = shares or {}
+    if len(shares) > max_queues:
+        raise ValueError("more shares than queues")
     spark = docs.sparkSession
     ship_package(spark)
     path = tokenizer or tokens.tokenizer_path(tokens.WORD_VOCAB)
@@ -174,7 +255,9 @@ def pack(docs: DataFrame, tokenizer: str | None = None, seq_len: int = SEQ_LEN,
     by_task = stage(coded.groupBy("source", "part").agg(F.sum("n").alias("n")), "token-sums")
     by_source = by_task.groupBy("source").agg(F.sum("n").alias("n"))
     # At most max_queues rows, plus one sum for the rest.
-    largest = by_source.orderBy(F.desc("n"), F.asc_nulls_first("source")).limit(max_queues).collect()
+    named = F.col("source").isin([k for k in shares if k is not None])
+    named = F.coalesce(named, F.lit(None in shares)) if shares else F.lit(False)
+    largest = by_source.orderBy(named.desc(), F.desc("n"), F.asc_nulls_first("source")).limit(max_queues).collect()
     rest = by_source.agg(F.sum("n")).first()[0] or 0
     sizes = [r["n"] for r in largest]
     rest -= sum(sizes)
@@ -182,15 +265,23 @@ def pack(docs: DataFrame, tokenizer: str | None = None, seq_len: int = SEQ_LEN,
         return spark.createDataFrame([], _PIECES)
     queues = F.broadcast(spark.createDataFrame(
         [(r["source"], i) for i, r in enumerate(largest)], "source string, queue int"))
-    rounds = Rounds(sizes + [rest] * (rest > 0), seq_len)
+    sizes += [rest] * (rest > 0)
+    rounds = Rounds(sizes, seq_len, _weights([r["source"] for r in largest], sizes, shares) if shares else None)
 
-    queue = F.coalesce("queue", F.lit(len(largest)))
     same = lambda a, b: F.col(f"{a}.source").eqNullSafe(F.col(f"{b}.source"))
-    # A queue's order: by source (the rest queue holds several), task, row.  One row per task and source here.
-    base = by_task.alias("a").join(queues.alias("q"), same("a", "q"), "left").select("a.*", queue.alias("queue"))
-    order = Window.partitionBy("queue").orderBy(F.asc_nulls_first("source"), "part").rowsBetween(Window.unboundedPreceding, -1)
-    base = stage(base.select("source", "part", "queue", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("base")), "queue-places")
+    # A source's order: task, row.  One row per task and source here.
+    base = by_task.alias("a").join(queues.alias("q"), same("a", "q"), "left").select("a.*", "q.queue")
+    every = Window.partitionBy("source")
+    earlier = every.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    base = stage(base.select("source", "part", "queue", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"),
+                             F.sum("n").over(every).alias("size")), "queue-places")
 
     joined = coded.alias("a").join(base.alias("b"), same("a", "b") & (F.col("a.part") == F.col("b.part"))).select(
-        "a.doc_id", "a.source", "b.queue", (F.col("a.earlier") + F.col("b.base")).alias("before"), "a.n", "a.ids")
-    return joined.mapInArrow(_place(rounds), _PIECES)
+        "a.doc_id", "a.source", "b.queue", (F.col("a.earlier") + F.col("b.base")).alias("before"), "b.size",
+        F.lit(0).cast("long").alias("skip"), "a.n", "a.ids")
+    own = joined.where("queue IS NOT NULL").drop("size") if rest else joined.drop("size")
+    placed = own.mapInArrow(_place(rounds), _PIECES)
+    if rest:
+        shared = _shared_queue(joined.where("queue IS NULL"), rest, seq_len, len(largest))
+        placed = placed.unionByName(shared.mapInArrow(_place(rounds), _PIECES))
+    return placed
