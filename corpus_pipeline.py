@@ -10,11 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltledger.llm import (  # noqa: F401
-    chat_queries, decontamination, decontamination_queries, jaccard, jaccard_queries, language_queries, mtree_queries, packing,
-    packing_queries, quality, quality_queries, token_count_queries, toxicity, toxicity_queries, warc_queries,
-)
-from voltledger.llm.catalog import QUERIES, SQL, query, table
+from voltledger.llm import decontamination, jaccard, packing, quality, toxicity
+from voltledger.llm.catalog import query, table
+from voltledger.llm.queries import QUERIES, SQL
 from voltledger.session import stage
 
 
