@@ -206,3 +206,48 @@ def test_targets_agree_with_a_simulation():
     for q, size in enumerate(sizes):
         spots = [p + i for p, length in rounds.runs(q, 0, size) for i in range(length)]
         assert spots == [place[q, i] for i in range(size)]
+
+
+def test_muldiv_is_exact():
+    rnd = random.Random(9)
+    for _ in range(2000):
+        c = rnd.randrange(1, 1 << rnd.randrange(1, 60))
+        q = rnd.randrange(1 << rnd.randrange(1, 49))
+        a = rnd.randrange(1, 1 << rnd.randrange(1, 62))
+        b = min(q * c // a, (1 << 62) - 1)
+        got = packing.muldiv([a], [b], [c])
+        assert (int(got[0][0]), int(got[1][0])) == divmod(a * b, c)
+
+
+def test_many_equal_sources_get_runs_of_several_tokens(spark):
+    rows = [(i, f"s{i}", "some words here " * 20) for i in range(300)]
+    windows = check(spark, rows, seq_len=256)
+    lengths = [p.length for ps in windows.values() for p in ps]
+    assert sum(lengths) / len(lengths) > 15
+
+
+def test_rounds_of_many_queues_are_cheap():
+    import time
+
+    rounds = packing.Rounds([10**9] * 2048, 2048)
+    one = [np.array([x]) for x in (700, 10**6, 600)]
+    rounds.spans(*one)
+    start = time.perf_counter()
+    row, place, length = rounds.spans(*one)
+    assert length.sum() == 600 and time.perf_counter() - start < 0.5
+
+
+def test_the_word_table_is_bounded_in_bytes(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_BYTES", 20_000)
+    encode, ours = plain(), tokens.WordEncoder(PATH)
+    texts = ["語" * 50_000, "x" * 70_000] + [f"word{i} other{i}" for i in range(400)]
+    for text, ids in zip(texts, ours.encode(texts), strict=True):
+        assert np.frombuffer(ids, dtype="<u4").tolist() == encode(text)
+    for text in texts:
+        ours.encode([text])
+    assert max(map(len, ours)) <= tokens.CACHE_LETTERS
+    assert sum(4 * len(w) + len(x) + tokens._ENTRY_BYTES for w, x in ours.items()) < 21_000
+
+
+def test_a_very_long_text(spark):
+    check(spark, [(1, "a", "some words, here. " * 200_000), (2, "b", "short"), (3, "a", "語" * 100_000)])

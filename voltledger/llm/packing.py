@@ -14,9 +14,11 @@ The tokens that do not fill a last sequence are cut into sequences whose lengths
 
 Steps: tokens are written once with the place of each document among its task's documents of that
 source; small per-(task, source) sums give every document its place in its queue; pieces are
-computed inside tasks.  At most ``max_queues`` sources have their own queue, whose sizes tasks hold
-in memory.  All others share a last queue, which is dealt by the same rule in rounds of its own: its
-runs get their place in it by a range-partitioned sort over a written table, whatever their number.
+computed inside tasks, for all documents of a slice at once.  A source with at least 1 / ``max_queues``
+of all tokens has its own queue, so there are at most ``max_queues`` of these, whose sizes tasks hold in
+memory.  All smaller sources, however many, share a last queue, which is dealt by the same rule in rounds of
+its own: its runs get their place in it by a range-partitioned sort over a written table.  A round of it is
+``RUN`` tokens per source on average, so that runs do not shrink to single tokens as sources multiply.
 
 With target ``shares`` a named queue earns ``seq_len x share`` a round instead; sources without one
 divide what the named leave, by their tokens.  A queue that has run empty earns nothing more, and the
@@ -41,21 +43,26 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltledger.llm import tokens
+from voltledger.llm.slices import by_bytes
 from voltledger.session import ship_package, stage
 
 SEQ_LEN = 2048
 END_ID = 1
-MAX_QUEUES = 2048
-_BYTES_AT_ONCE = 2 << 20
+MAX_QUEUES = 128
+RUN = 32
+_BYTES_AT_ONCE = 8 << 20
 
 _TOKENS = "doc_id long, source string, part int, earlier long, n long, ids binary"
 _PIECES = ("doc_id long, source string, start long, length long, ids_crc32 long, doc_tokens long, "
            "sequence_id long, offset long")
 
 
-def _tokenize(path: str, end_id: int, added: bool):
-    end = np.asarray([end_id], dtype="<u4").tobytes()
+def _binary(ids: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """A binary column whose value i is ids[edges[i]:edges[i + 1]]."""
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer((4 * edges).astype(np.int32)), pa.py_buffer(ids)])
+
 
+def _tokenize(path: str, end_id: int, added: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokens.word_encoder(path, added)
         part, sent = TaskContext.get().partitionId(), {}
@@ -67,99 +74,144 @@ def _tokenize(path: str, end_id: int, added: bool):
                 while stop < len(texts) and (stop == start or size < _BYTES_AT_ONCE):
                     size += len(texts[stop] or "")
                     stop += 1
-                ids = [x + end for x in encoder.encode([t or "" for t in texts[start:stop]])]
-                counts, earlier = [len(x) // 4 for x in ids], []
-                for source, n in zip(sources[start:stop], counts, strict=True):
+                ids, counts = encoder.flat([t or "" for t in texts[start:stop]])
+                edges = np.concatenate([[0], np.cumsum(counts + 1)])
+                closed = np.full(edges[-1], end_id, dtype="<u4")  # the last id of every document stays
+                closed[np.arange(len(ids)) + np.repeat(np.arange(len(counts)), counts)] = ids
+                counts, earlier = counts + 1, []
+                for source, n in zip(sources[start:stop], counts.tolist(), strict=True):
                     earlier.append(sent.get(source, 0))
                     sent[source] = earlier[-1] + n
                 n = stop - start
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id").slice(start, n), batch.column("source").slice(start, n),
-                    pa.array([part] * n, pa.int32()), pa.array(earlier, pa.int64()),
-                    pa.array(counts, pa.int64()), pa.array(ids, pa.binary()),
+                    pa.array(np.full(n, part, dtype=np.int32)), pa.array(earlier, pa.int64()),
+                    pa.array(counts, pa.int64()), _binary(closed, edges),
                 ], names=["doc_id", "source", "part", "earlier", "n", "ids"])
                 start = stop
 
     return run
 
 
+def muldiv(a, b, c) -> tuple[np.ndarray, np.ndarray]:
+    """Quotient and remainder of a * b / c for whole numbers, exact although a * b may pass 64 bits.
+
+    c must be below 2 ** 60 and the quotient below 2 ** 50: a float is then off by one at most, and the
+    remainder, small itself, comes out right modulo 2 ** 64.
+    """
+    a, b, c = (np.asarray(x, dtype=np.int64) for x in (a, b, c))
+    q = np.floor(a.astype(float) * b / c).astype(np.int64)
+    with np.errstate(over="ignore"):
+        rest = a * b - q * c
+    more = np.floor_divide(rest, c)
+    return q + more, rest - more * c
+
+
+def _spread(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(i, first[i] + 0 .. count[i] - 1) for every i."""
+    row = np.repeat(np.arange(len(count)), count)
+    return row, first[row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+
+
 class Rounds:
     """Where tokens of a queue stand in the round-robin stream."""
 
-    def __init__(self, sizes: list[int], seq_len: int, weights: list[int] | None = None):
-        self.sizes, self.total, self.seq_len = [int(x) for x in sizes], int(sum(sizes)), seq_len
-        self.weights = weights or self.sizes
-        self.whole = sum(self.weights)
-        self._lines: dict[int, list[tuple[int, int, int]]] = {}
+    _CELLS = 1 << 20
 
-    def sent(self, queue: int, r: int) -> int:
+    def __init__(self, sizes: list[int], seq_len: int, weights: list[int] | None = None):
+        self.sizes, self.total, self.seq_len = np.array([int(x) for x in sizes], dtype=np.int64), int(sum(sizes)), seq_len
+        whole = sum(weights or sizes)
+        # Within what `muldiv` takes; rounds of a queue run with the same numbers everywhere.
+        most = (1 << 59) // seq_len
+        scaled = [int(w) if whole <= most else max(1, int(w) * most // whole) if w else 0 for w in weights or sizes]
+        self.weights, self.whole = np.array(scaled, dtype=np.int64), max(1, sum(scaled))
+        tail, held, self._tail = self.total % seq_len, 0, [0]
+        while held < tail:
+            held += 1 << ((tail - held).bit_length() - 1)
+            self._tail.append(held)
+        self._tail = np.array(self._tail, dtype=np.int64)
+
+    def sent(self, queue, r) -> np.ndarray:
         """Tokens that ``queue`` has sent before round r."""
-        return min(self.sizes[queue], self.weights[queue] * self.seq_len * r // self.whole)
+        return np.minimum(self.sizes[queue], muldiv(self.weights[queue] * self.seq_len, r, self.whole)[0])
 
-    def round_of(self, queue: int, at: int) -> int:
+    def round_of(self, queue, at) -> np.ndarray:
         """The round in which ``queue`` sends its token ``at``: the last r with sent(r) <= at."""
         # sent(r) <= at  <=>  weight * seq_len * r < (at + 1) * whole
-        return ((at + 1) * self.whole - 1) // (self.weights[queue] * self.seq_len)
-
-    def line(self, r: int) -> list[tuple[int, int, int]]:
-        """Per queue: its place in the stream in round r, tokens sent before and after that round."""
-        if r not in self._lines:
-            if len(self._lines) >= 256:
-                self._lines.clear()
-            before = [self.sent(q, r) for q in range(len(self.sizes))]
-            after = [self.sent(q, r + 1) for q in range(len(self.sizes))]
-            at, found = sum(before), []
-            for x, y in zip(before, after, strict=True):
-                found.append((at, x, y))
-                at += y - x
-            self._lines[r] = found
-        return self._lines[r]
+        q, rest = muldiv(np.asarray(at) + 1, self.whole, self.weights[queue] * self.seq_len)
+        return q - (rest == 0)
+
+    def _starts(self, queue: np.ndarray, r: np.ndarray) -> np.ndarray:
+        """Per (queue, round) the place in the stream where that queue's run of that round starts."""
+        rounds, at = np.unique(r, return_inverse=True)
+        out, every = np.empty(len(r), dtype=np.int64), np.arange(len(self.sizes))
+        step = max(1, self._CELLS // len(every))
+        order = np.argsort(at, kind="stable")
+        edges = np.searchsorted(at[order], np.arange(0, len(rounds) + step, step))
+        for i, start in enumerate(range(0, len(rounds), step)):
+            held = rounds[start : start + step, None]
+            before, after = self.sent(every, held), self.sent(every, held + 1)
+            runs = np.cumsum(after - before, axis=1) - (after - before)
+            rows = order[edges[i] : edges[i + 1]]
+            out[rows] = (before.sum(1)[:, None] + runs)[at[rows] - start, queue[rows]]
+        return out
+
+    def spans(self, queue: np.ndarray, at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(i, place in the stream, length) of the runs that tokens at[i] .. at[i] + n[i] - 1 of queue[i] form."""
+        first = self.round_of(queue, at)
+        row, r = _spread(first, self.round_of(queue, at + n - 1) - first + 1)
+        q = queue[row]
+        before = self.sent(q, r)
+        start, stop = np.maximum(at[row], before), np.minimum((at + n)[row], self.sent(q, r + 1))
+        some = stop > start
+        row, q, r, start, stop, before = (x[some] for x in (row, q, r, start, stop, before))
+        return row, self._starts(q, r) + start - before, stop - start
 
     def runs(self, queue: int, at: int, n: int) -> Iterator[tuple[int, int]]:
-        """(place in the stream, length) of the runs that tokens at .. at+n-1 of a queue form."""
-        end = at + n
-        while at < end:
-            place, before, after = self.line(self.round_of(queue, at))[queue]
-            stop = min(end, after)
-            yield place + at - before, stop - at
-            at = stop
-
-    def cut(self, place: int, length: int) -> Iterator[tuple[int, int, int]]:
-        """(sequence, offset in it, length) of a stretch of the stream."""
+        """The spans of one document."""
+        _, place, length = self.spans(*(np.array([x], dtype=np.int64) for x in (queue, at, n)))
+        return zip(place.tolist(), length.tolist(), strict=True)
+
+    def _sequence(self, place: np.ndarray) -> np.ndarray:
         full = self.total // self.seq_len
-        tail = self.total - full * self.seq_len
-        while length:
-            sequence, offset = divmod(place, self.seq_len)
-            room = self.seq_len - offset
-            if sequence >= full:
-                left, sequence = tail, full
-                while offset >= (size := 1 << (left.bit_length() - 1)):
-                    offset, left, sequence = offset - size, left - size, sequence + 1
-                room = size - offset
-            take = min(room, length)
-            yield sequence, offset, take
-            place, length = place + take, length - take
+        in_tail = np.searchsorted(self._tail, place - full * self.seq_len, side="right") - 1
+        return np.where(place < full * self.seq_len, place // self.seq_len, full + in_tail)
+
+    def _start(self, sequence: np.ndarray) -> np.ndarray:
+        full = self.total // self.seq_len
+        in_tail = self._tail[np.clip(sequence - full, 0, len(self._tail) - 1)]
+        return np.where(sequence < full, sequence * self.seq_len, full * self.seq_len + in_tail)
+
+    def cut(self, place: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(i, sequence, offset in it, length) of the pieces of stretches of the stream, in their order."""
+        first = self._sequence(place)
+        row, sequence = _spread(first, self._sequence(place + length - 1) - first + 1)
+        base = self._start(sequence)
+        start, stop = np.maximum(place[row], base), np.minimum((place + length)[row], self._start(sequence + 1))
+        return row, sequence, start - base, stop - start
 
 
 def _place(rounds: Rounds):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "source", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-        types = [pa.int64(), pa.string()] + [pa.int64()] * 6
-        out: list[tuple] = []
-        for batch in batches:
-            for doc_id, source, queue, before, skip, n, ids in zip(
-                    *(batch.column(c).to_pylist() for c in ("doc_id", "source", "queue", "before", "skip", "n", "ids")), strict=True):
-                done, view = 0, memoryview(ids)
-                for place, length in rounds.runs(queue, before, len(ids) // 4):
-                    for sequence, offset, take in rounds.cut(place, length):
-                        crc = zlib.crc32(view[4 * done : 4 * (done + take)])
-                        out.append((doc_id, source, skip + done, take, crc, n, sequence, offset))
-                        done += take
-                if len(out) >= 50_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
-                    out = []
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+        for whole in batches:
+            for a, b in by_bytes(whole.column("ids")):
+                batch = whole.slice(a, b - a)
+                ids = batch.column("ids").cast(pa.large_binary())
+                edges = np.frombuffer(ids.buffers()[1], dtype=np.int64)[ids.offset : ids.offset + len(ids) + 1]
+                queue, before, skip, n = (batch.column(c).to_numpy().astype(np.int64) for c in ("queue", "before", "skip", "n"))
+                doc, place, length = rounds.spans(queue, before, np.diff(edges) // 4)
+                run, sequence, offset, take = rounds.cut(place, length)
+                doc = doc[run]
+                # Pieces follow one another, so tokens before a piece are sums of lengths.
+                done = np.cumsum(take) - take
+                done -= (edges[doc] - edges[0]) // 4
+                starts = edges[doc] + 4 * done
+                view, at = memoryview(ids.buffers()[2]), pa.array(doc)
+                crc = [zlib.crc32(view[i:j]) for i, j in zip(starts.tolist(), (starts + 4 * take).tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").take(at), batch.column("source").take(at), pa.array(skip[doc] + done), pa.array(take),
+                     pa.array(crc, pa.int64()), pa.array(n[doc]), pa.array(sequence), pa.array(offset)], names=names)
 
     return run
 
@@ -168,7 +220,7 @@ _RUNS = "r long, source string, before long, doc_id long, skip long, n long, ids
 _SORTED = "p int, start long, doc_id long, source string, skip long, n long, ids binary"
 
 
-def _shared_runs(total: int, seq_len: int):
+def _shared_runs(total: int, round_len: int):
     """The runs that documents of the shared queue form in its own rounds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,8 +232,8 @@ def _shared_runs(total: int, seq_len: int):
                     *(batch.column(c).to_pylist() for c in ("doc_id", "source", "size", "before", "n", "ids")), strict=True):
                 done = 0
                 while done < n:
-                    r = ((at + done + 1) * total - 1) // (size * seq_len)
-                    stop = min(n, size * seq_len * (r + 1) // total - at)
+                    r = ((at + done + 1) * total - 1) // (size * round_len)
+                    stop = min(n, size * round_len * (r + 1) // total - at)
                     out.append((r, source, at + done, doc_id, done, n, ids[4 * done : 4 * stop]))
                     done = stop
                 if len(out) >= 50_000:
@@ -205,10 +257,10 @@ def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["p", "start", "doc_id", "source", "skip", "n", "ids"])
 
 
-def _shared_queue(docs: DataFrame, total: int, seq_len: int, queue: int) -> DataFrame:
+def _shared_queue(docs: DataFrame, total: int, round_len: int, queue: int) -> DataFrame:
     """Runs of the sources without a queue of their own, with their place in the queue they share."""
     order = [F.asc_nulls_first(c) for c in ("r", "source", "before")]
-    runs = stage(docs.mapInArrow(_shared_runs(total, seq_len), _RUNS), "shared-runs")
+    runs = stage(docs.mapInArrow(_shared_runs(total, round_len), _RUNS), "shared-runs")
     placed = stage(runs.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_number, _SORTED), "shared-order")
     # One number per partition of the sort.
     sums = {r["p"]: r["n"] for r in placed.groupBy("p").agg(F.sum(F.length("ids") / 4).cast("long").alias("n")).collect()}
@@ -254,15 +306,17 @@ def pack(docs: DataFrame, tokenizer: str | None = None, seq_len: int = SEQ_LEN,
 
     by_task = stage(coded.groupBy("source", "part").agg(F.sum("n").alias("n")), "token-sums")
     by_source = by_task.groupBy("source").agg(F.sum("n").alias("n"))
-    # At most max_queues rows, plus one sum for the rest.
+    total, sources = by_source.agg(F.sum("n"), F.count("*")).first()
+    if not total:
+        return spark.createDataFrame([], _PIECES)
     named = F.col("source").isin([k for k in shares if k is not None])
     named = F.coalesce(named, F.lit(None in shares)) if shares else F.lit(False)
-    largest = by_source.orderBy(named.desc(), F.desc("n"), F.asc_nulls_first("source")).limit(max_queues).collect()
-    rest = by_source.agg(F.sum("n")).first()[0] or 0
+    # At most max_queues rows can have such a share of all tokens, plus the named ones.
+    own = by_source.where(named | (F.col("n") * max_queues >= total))
+    largest = own.orderBy(named.desc(), F.desc("n"), F.asc_nulls_first("source")).collect()
     sizes = [r["n"] for r in largest]
-    rest -= sum(sizes)
-    if not largest:
-        return spark.createDataFrame([], _PIECES)
+    rest = total - sum(sizes)
+    round_len = max(seq_len, RUN * (sources - len(largest)))
     queues = F.broadcast(spark.createDataFrame(
         [(r["source"], i) for i, r in enumerate(largest)], "source string, queue int"))
     sizes += [rest] * (rest > 0)
@@ -279,9 +333,9 @@ def pack(docs: DataFrame, tokenizer: str | None = None, seq_len: int = SEQ_LEN,
     joined = coded.alias("a").join(base.alias("b"), same("a", "b") & (F.col("a.part") == F.col("b.part"))).select(
         "a.doc_id", "a.source", "b.queue", (F.col("a.earlier") + F.col("b.base")).alias("before"), "b.size",
         F.lit(0).cast("long").alias("skip"), "a.n", "a.ids")
-    own = joined.where("queue IS NOT NULL").drop("size") if rest else joined.drop("size")
-    placed = own.mapInArrow(_place(rounds), _PIECES)
+    apart = joined.where("queue IS NOT NULL") if rest else joined
+    placed = apart.drop("size").mapInArrow(_place(rounds), _PIECES)
     if rest:
-        shared = _shared_queue(joined.where("queue IS NULL"), rest, seq_len, len(largest))
+        shared = _shared_queue(joined.where("queue IS NULL"), rest, round_len, len(largest))
         placed = placed.unionByName(shared.mapInArrow(_place(rounds), _PIECES))
     return placed
