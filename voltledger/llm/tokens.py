@@ -19,7 +19,7 @@ WORD_VOCAB = "word_bpe_49k.json"
 BYTE_VOCAB = "byte_bpe_50k.tiktoken"
 # Bytes of words and their ids kept per worker, and the longest word kept; the table is emptied when full,
 # which changes speed only.
-CACHE_BYTES, CACHE_LETTERS = 160 << 20, 64
+CACHE_BYTES, CACHE_LETTERS = 96 << 20, 64
 _ENTRY_BYTES = 250  # of an entry, a string and a bytes object, without their content
 
 # Blanks for str.split that the tokenizer's pattern does not count as white space.
