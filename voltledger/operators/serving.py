@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -12,16 +11,14 @@ from pyspark.sql import functions as F
 
 from voltledger import settings as S
 from voltledger.functions.statements import classify_sql
+from voltledger.operators import guard
+from voltledger.operators.guard import StatementRefused
 from voltledger.sources.tables import dataset_path, exists
 
 SUSPICIOUS_COLUMNS = ("trade_id", "counterparty", "commodity", "buy_sell", "volume_mw",
                       "price_eur_mwh", "anomaly_score", "risk_band", "top_reason")
 
 
-class StatementRefused(ValueError):
-    """The statement is not a single read-only query."""
-
-
 def _limit(asked: int, most: int) -> int:
     if asked < 0:
         raise ValueError("limit must not be negative")
@@ -145,49 +142,28 @@ def assert_read_only(spark: SparkSession, sql: str) -> None:
         raise StatementRefused(f"Query rejected for safety: {verdict['reason']}")
 
 
-_TABLE_FUNCTIONS = {"explode", "explode_outer", "posexplode", "posexplode_outer", "inline", "inline_outer", "stack", "range", "json_tuple"}
-_REACHES_OUT = re.compile(r"reflect|java_method", re.IGNORECASE)
-
-
-def _assert_known_relations(session: SparkSession, sql: str, known: set[str]) -> None:
-    """Refuse names other than the known views before the statement is analysed or run."""
-    if found := _REACHES_OUT.search(sql):
-        raise StatementRefused(f"Query rejected for safety: {found[0]} is not available")
-    try:
-        parsed = session._jsparkSession.sessionState().sqlParser().parsePlan(sql).toString()
-    except Exception as error:
-        raise StatementRefused("Query rejected for safety: it cannot be parsed") from error
-    own = {c.strip().lower() for names in re.findall(r"CTE \[([^\]]*)\]", parsed) for c in names.split(",")}
-    for names in re.findall(r"UnresolvedRelation \[([^\]]*)\]", parsed):
-        name = names.lower()
-        # A WITH name is its own only if no table stands behind it.
-        if name not in known and (name not in own or session.catalog.tableExists(name)):
-            raise StatementRefused(f"Query rejected for safety: unknown relation {names}")
-    for name in re.findall(r"Unresolved(?:TableValuedFunction|TVFAliases) \[([^\]]*)\]", parsed):
-        if name.split(",")[0].strip().lower() not in _TABLE_FUNCTIONS:
-            raise StatementRefused(f"Query rejected for safety: table function {name}")
-
-
 def query_data(spark: SparkSession, root: str, sql: str, args: Mapping | None = None,
                max_rows: int = S.MAX_ROWS) -> tuple[DataFrame, bool]:
     """Run one read-only statement over the Gold views: (rows, were there more).
 
-    It runs in a session of its own.  Before anything runs, the parsed statement is searched: it
-    may read the four views and its own WITH names only, call no table function but the ones
-    listed, and no function that reaches into the JVM.  File paths are no table names.  The
-    statement runs once; at most ``max_rows`` + 1 rows come to the driver.
+    It runs in a session of its own, and only after its parsed and its analysed plan were walked
+    (``guard``): every leaf must be one of the four views' own files, every operator and expression on
+    a list.  The statement runs once; at most ``max_rows`` + 1 rows come to the driver.
     """
     assert_read_only(spark, sql)
     session = spark.newSession()
-    known = set()
+    known, files = set(), set()
     for name in S.GOLD_DATASETS:
         path = dataset_path(root, name)
         if exists(spark, path):
-            session.read.option("recursiveFileLookup", True).parquet(path).createOrReplaceTempView(name)
+            view = session.read.option("recursiveFileLookup", True).parquet(path)
+            view.createOrReplaceTempView(name)
             known.add(name.lower())
+            files |= guard.locations(view)
     session.conf.set("spark.sql.runSQLOnFiles", "false")
-    _assert_known_relations(session, sql, known)
+    guard.check_parsed(session, sql, known)
     result = session.sql(sql, dict(args) if args else None)
+    guard.check_resolved(session, result, files)
     rows = result.limit(max_rows + 1).toArrow()
     return session.createDataFrame(rows.slice(0, max_rows), result.schema), rows.num_rows > max_rows
 
