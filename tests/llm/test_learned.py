@@ -117,3 +117,10 @@ def test_far_texts_are_rejected(spark):
     assert np.bincount(model.of).min() > 1  # several centroids per language
     _, _, _, rejected = model.predict(["日本語のテキストです。" * 20, "".join(map(chr, range(0x400, 0x450))) * 5])
     assert rejected.all()
+
+
+def test_only_letters_are_letters():
+    from voltledger.llm import language
+
+    assert not any(map(language.has_letter, ("½ ²", "①②", "Ⅷ", "12 _ 3", "", None, "٣", "\u0301")))
+    assert all(map(language.has_letter, ("a", "1é", "語", "ª", "ʰ")))

@@ -1,6 +1,8 @@
 """M-tree search against brute force."""
 
+import math
 import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -9,23 +11,24 @@ from voltledger.llm import mtree
 
 
 def brute(rows, k, every):
-    fit = {(i, tuple(int(np.floor(1024 * float(x))) for x in v)) for i, v in rows
-           if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)}
+    fit = [(i, tuple(math.floor(Fraction(float(x)) * 1024) for x in v)) for i, v in rows
+           if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     dims = max((len(v) for _, v in fit), default=0)
-    fit = {(i, v + (0,) * (dims - len(v))) for i, v in fit}
+    fit = [(i, v + (0,) * (dims - len(v))) for i, v in fit]
     out = []
-    for q, qv in fit:
+    for q, qv in set(fit):
         if q % every:
             continue
         scored = sorted((-sum(a * b for a, b in zip(qv, v)), i) for i, v in fit if i != q)[:k]
-        out += [(q, r, i, -s) for r, (s, i) in enumerate(scored, 1)]
-    return sorted(out)
+        out += [(q, r, i, -s if abs(s) < 1 << 63 else None) for r, (s, i) in enumerate(scored, 1)]
+    return sorted(out, key=str)
 
 
 def ours(spark, rows, k, every, **options):
-    df = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<float>, region int")
+    kind = options.pop("kind", "float")
+    df = spark.createDataFrame([(i, v, 1) for i, v in rows], f"vec_id long, embedding array<{kind}>, region int")
     vectors = mtree.to_integers(df)
-    return sorted(map(tuple, mtree.top_k(vectors, vectors.where(f"vec_id % {every} = 0"), k, **options).collect()))
+    return sorted(map(tuple, mtree.top_k(vectors, vectors.where(f"vec_id % {every} = 0"), k, **options).collect()), key=str)
 
 
 def floats(v):
@@ -70,7 +73,7 @@ def test_bounds_save_distances():
         found, computed = tree.best(q, v[q], 10, None)
         work += computed
         want = sorted(((int(s), -int(i)) for s, i in zip(v @ v[q], ids) if i != q), reverse=True)[:10]
-        assert sorted(found, reverse=True) == want
+        assert sorted((x[:2] for x in found), reverse=True) == want
     assert work < 20 * 4000 * 0.5
 
 
@@ -101,3 +104,18 @@ def test_random_floats(spark):
     rnd = random.Random(9)
     rows = [(i, floats(rnd.gauss(0, 1) for _ in range(16))) for i in range(400)]
     assert ours(spark, rows, 3, 25, shard=100) == brute(rows, 3, 25)
+
+
+@pytest.mark.parametrize("size", [1e5, 1e6, 1e16, 1e30, 1e300])
+def test_large_components(spark, size):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(80)]
+    rows += [(100 + i, (size * rng.normal(size=6)).tolist()) for i in range(12)] + [(100, [size] * 6), (120, [-size] * 6), (130, [size, -1.0])]
+    rows += [rows[3], rows[3], rows[85]]
+    assert ours(spark, rows, 10, 10, kind="double") == brute(rows, 10, 10)
+
+
+def test_repeated_rows_are_candidates_each(spark):
+    rows = [(0, [1.0, 0.0]), (1, [3.0, 0.0]), (1, [3.0, 0.0]), (1, [2.0, 5.0]), (2, [2.0, 0.0]), (3, [1.0, 1.0])] + [(7, [9.0, 0.0])] * 6
+    assert ours(spark, rows, 10, 10) == brute(rows, 10, 10)
+    assert ours(spark, rows, 4, 10) == brute(rows, 4, 10)

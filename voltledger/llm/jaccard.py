@@ -321,7 +321,8 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLER
 def first_of_each_class(docs: DataFrame, **options) -> DataFrame:
     """One document of every class, columns unchanged."""
     kept = stage(join(docs, **options).where("row = first_row").select("k"), "kept")
-    marked = docs.withColumn("_k", _row_key())
-    once = marked.join(kept.hint("merge"), marked["_k"] == kept["k"], "left_semi")
+    own = next(name for name in ("_k", *(f"_k{i}" for i in range(len(docs.columns)))) if name not in docs.columns)
+    marked = docs.withColumn(own, _row_key())
+    once = marked.join(kept.hint("merge"), marked[own] == kept["k"], "left_semi")
     # A repeated row has the same key as the one that stays.
-    return once.dropDuplicates(["_k"]).drop("_k")
+    return once.dropDuplicates([own]).drop(own)

@@ -17,13 +17,13 @@ learn from, everything is ``und``; other columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,7 +39,7 @@ REJECT_SHARE = 0.005
 # Turns differences of cosines into a probability.
 SHARPNESS = 25.0
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _FOLD = np.full(256, 32, dtype=np.uint8)
 for _c in range(256):
     if 97 <= _c <= 122 or _c >= 128:
@@ -140,9 +140,15 @@ def train(docs: DataFrame, folds: int = 3, held_out: int = 1, per_language: int
     n = counts.get(-1, 0)
     idf = np.log((1 + n) / (1 + np.array([counts.get(g, 0) for g in range(DIMS)], dtype=float))) + 0.05
 
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = stage(known.select("lang", "doc_id").withColumn("k", F.row_number().over(order))
-                   .where(F.col("k") <= per_language).select("lang", "doc_id").distinct(), "fit-sample")
+    # The ids of smallest hash per language.  Counts by hash range tell which ranges can hold them, so that
+    # no task meets all ids of a language.
+    ids = known.select("lang", "doc_id").distinct().withColumn("h", F.xxhash64("doc_id")).withColumn("range", F.shiftright("h", 48))
+    held = ids.groupBy("lang", "range").agg(F.count("*").alias("n"))  # at most 65 536 rows a language
+    before = Window.partitionBy("lang").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = held.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).where(F.col("before") < per_language)
+    order = Window.partitionBy("lang").orderBy("h", "doc_id")
+    chosen = stage(ids.join(ranges.select("lang", "range"), ["lang", "range"]).withColumn("k", F.row_number().over(order))
+                   .where(F.col("k") <= per_language).select("lang", "doc_id"), "fit-sample")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

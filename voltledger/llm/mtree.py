@@ -16,23 +16,30 @@ taken best first; |d(q, parent) - d(x, parent)| bounds d(q, x) from below, and o
 does not rule out are computed.  Distances only rule out (with slack for rounding); scores are
 computed in integers.
 
-Queries of a shard are searched in blocks, so neither side of a task grows with the corpus.
+Queries of a shard are searched in blocks, so neither side of a task grows with the corpus; a shard's
+pages are sent to the blocks that ask for it and to no others.
+
+Vectors whose squared length passes 2^60 (``wide``) would leave 64 bits.  They stay outside the trees: wide
+queries are compared with all vectors and all queries with wide vectors, in blocks; bounds in float64
+leave few candidates, whose scores are computed in Python's unbounded integers.
 
 Defined results: vectors that are null or hold null, NaN or infinite components take no part, nor
 do rows without vec_id; missing components of shorter vectors count as zero; rows equal in id and
-vector count once; a query is never paired with rows of its own id; ties go to the smaller vec_id;
-other columns are ignored.
+vector are candidates each, and one query; a query is never paired with rows of its own id; ties go to the
+smaller vec_id; scores are ranked exactly and are null in ``score`` where they pass 64 bits; other
+columns are ignored.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltledger.session import ship_package, stage
@@ -41,17 +48,25 @@ REGIONS = 64
 SHARD = 8192
 QUERY_BLOCK = 1024
 FANOUT, LEAF = 16, 256
-# Scores are whole numbers; bounds from distances are widened by this much.
-SLACK = 0.25
+# Scores are whole numbers; bounds from distances are widened by this much, and by a share of the squares they
+# come from that is far above the rounding of float64.
+SLACK, ROUNDING = 0.25, 1e-11
+# Squared length up to which a vector is indexed: all its scores then fit 64 bits.
+NARROW = float(1 << 60)
+ROW_BLOCK, WIDE_QUERIES = 16384, 256
 
 
 def to_integers(vectors: DataFrame, scale: int = 1024) -> DataFrame:
-    """(vec_id, v): components as floor(scale * x), for the rows that take part."""
+    """(vec_id, v, wide, scale, copies) of the rows that take part: components as floor(scale * x), or as they are if wide."""
     fit = F.col("embedding").isNotNull() & F.forall(
         "embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
-    scaled = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("long"))
-    return vectors.where(F.col("vec_id").isNotNull() & F.coalesce(fit, F.lit(False))).select(
-        F.col("vec_id").cast("long").alias("vec_id"), scaled.alias("v")).distinct()
+    own = F.when(F.coalesce(fit, F.lit(False)), F.transform("embedding", lambda x: x.cast("double")))
+    kept = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), own.alias("x")).where("vec_id IS NOT NULL AND x IS NOT NULL")
+    square = F.aggregate("x", F.lit(0.0), lambda a, x: a + (x * scale) * (x * scale))
+    return kept.withColumn("narrow", square < F.lit(NARROW)).select(
+        "vec_id", F.when(F.col("narrow"), F.transform("x", lambda x: F.floor(x * scale))).alias("v"),
+        F.when(~F.col("narrow"), F.col("x")).alias("wide"), F.lit(scale).alias("scale")
+    ).groupBy("vec_id", "v", "wide", "scale").agg(F.count("*").alias("copies"))
 
 
 def _matrix(column: pa.Array, dims: int) -> np.ndarray:
@@ -72,15 +87,16 @@ def _distances(x: np.ndarray, p: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(((x - p) ** 2).sum(-1), 0.0))
 
 
-_PAGES = ("region int, shard int, page int, leaf boolean, ids array<long>, vectors binary, radii array<double>, "
+_PAGES = ("region int, shard int, page int, leaf boolean, ids array<long>, copies array<long>, vectors binary, radii array<double>, "
           "parents array<double>")
 
 
 class Builder:
     """One M-tree, from its root down: page 0 is the root."""
 
-    def __init__(self, ids: np.ndarray, v: np.ndarray, top: int):
+    def __init__(self, ids: np.ndarray, v: np.ndarray, top: int, copies: np.ndarray | None = None):
         self.ids, self.v, self.x = ids, v, lift(v, top)
+        self.copies = np.ones(len(ids), dtype=np.int64) if copies is None else copies
         self.pages: list[dict] = []
         self._least: dict[int, int] = {}
         self._add(np.arange(len(ids)), None)
@@ -91,7 +107,7 @@ class Builder:
         to_parent = lambda x: np.zeros(len(x)) if parent is None else _distances(x, parent)
         if len(at) <= LEAF:
             at = at[np.argsort(self.ids[at], kind="stable")]
-            self.pages[page] = {"page": page, "leaf": True, "ids": self.ids[at], "vectors": self.v[at].tobytes(),
+            self.pages[page] = {"page": page, "leaf": True, "ids": self.ids[at], "copies": self.copies[at], "vectors": self.v[at].tobytes(),
                                 "radii": np.empty(0), "parents": to_parent(self.x[at])}
             return page
         routes, parts = self._split(at)
@@ -100,7 +116,7 @@ class Builder:
         # The smallest id below a child settles ties without opening it.
         self.pages[page] = {"page": page, "leaf": False,
                             "ids": np.array([[c, self.ids[p].min()] for c, p in zip(children, parts, strict=True)]).ravel(),
-                            "vectors": self.x[routes].tobytes(), "radii": np.array(radii), "parents": to_parent(self.x[routes])}
+                            "copies": np.empty(0, dtype=np.int64), "vectors": self.x[routes].tobytes(), "radii": np.array(radii), "parents": to_parent(self.x[routes])}
         return page
 
     def _split(self, at: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
@@ -133,47 +149,49 @@ class Tree:
                        else np.frombuffer(p.vectors, dtype=float).reshape(-1, dims + 1))
             self.pages[p.page] = (p.leaf, ids if p.leaf else ids.reshape(-1, 2), vectors,
                                   np.asarray(p.radii, dtype=float), np.asarray(p.parents, dtype=float))
+        self.copies = {p.page: np.asarray(p.copies, dtype=np.int64) for p in pages.itertuples() if p.leaf}
 
-    def best(self, query_id: int, q: np.ndarray, k: int, limit: tuple[int, int] | None) -> tuple[list[tuple[int, int]], int]:
-        """The k best (score, -vec_id) that beat ``limit``, and how many distances were computed."""
+    def best(self, query_id: int, q: np.ndarray, k: int, limit: tuple[int, int] | None) -> tuple[list[tuple], int]:
+        """The k best (score, -vec_id, copies) that beat ``limit``, and how many distances were computed."""
         lifted, whole = np.append(q.astype(float), 0.0), float((q * q).sum()) + self.top
-        found: list[tuple[int, int]] = []  # smallest first
+        slack = SLACK + ROUNDING * whole
+        found: list[tuple] = []  # smallest first
         computed = 0
         floor = (limit[0], -limit[1]) if limit else None
 
         def worst():
             """What an entry must beat, as (score, -vec_id)."""
-            return max(found[0], floor) if len(found) == k and floor else found[0] if len(found) == k else floor
+            return max(found[0][:2], floor) if len(found) == k and floor else found[0][:2] if len(found) == k else floor
 
         # (distance below which nothing lies, page, distance of the query to the page's parent or None)
         queue: list[tuple[float, int, float | None]] = [(0.0, 0, None)]
         while queue:
             low, page, to_parent = heapq.heappop(queue)
             bar = worst()
-            if bar is not None and (whole - low * low) / 2 + SLACK < bar[0]:
+            if bar is not None and (whole - low * low) / 2 + slack < bar[0]:
                 break  # nothing nearer is left in the queue
             leaf, ids, vectors, radii, parents = self.pages[page]
             reach = radii if len(radii) else 0.0
             open_ = np.ones(len(ids), dtype=bool)
             if bar is not None and to_parent is not None:
                 gap = np.maximum(np.abs(to_parent - parents) - reach, 0.0)
-                open_ = (whole - gap * gap) / 2 + SLACK >= bar[0]
+                open_ = (whole - gap * gap) / 2 + slack >= bar[0]
             at = np.flatnonzero(open_)
             computed += len(at)
             if leaf:
                 scores = vectors[at] @ q
                 if bar is not None:
                     at, scores = at[scores >= bar[0]], scores[scores >= bar[0]]
-                for score, vec_id in zip(scores.tolist(), ids[at].tolist(), strict=True):
-                    one = (score, -vec_id)
-                    if vec_id == query_id or (bar is not None and one <= bar):
+                for score, vec_id, n in zip(scores.tolist(), ids[at].tolist(), self.copies[page][at].tolist(), strict=True):
+                    one = (score, -vec_id, n)
+                    if vec_id == query_id or (bar is not None and one[:2] <= bar):
                         continue
                     (heapq.heappush if len(found) < k else heapq.heappushpop)(found, one)
                     bar = worst()
                 continue
             d = _distances(vectors[at], lifted)
             lows = np.maximum(d - radii[at], 0.0)
-            tops = np.floor((whole - lows * lows) / 2 + SLACK)
+            tops = np.floor((whole - lows * lows) / 2 + slack)
             for i, distance, nearest, most in zip(at, d, lows, tops, strict=True):
                 if bar is None or (most, -ids[i, 1]) > bar:
                     heapq.heappush(queue, (float(nearest), int(ids[i, 0]), float(distance)))
@@ -182,14 +200,88 @@ class Tree:
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, regions: int = REGIONS, shard: int = SHARD,
           query_block: int = QUERY_BLOCK) -> DataFrame:
-    """(query_id, rank, vec_id, score).  Both inputs are (vec_id, v) from ``to_integers``."""
+    """(query_id, rank, vec_id, score).  Both inputs are rows of ``to_integers``."""
     spark = vectors.sparkSession
     ship_package(spark)
-    vectors = stage(vectors, "vectors")
-    queries = stage(queries.withColumnRenamed("vec_id", "query_id").withColumn("qhash", F.xxhash64("v")), "queries")
+    every_vector = stage(vectors, "vectors")
+    every_query = stage(queries.withColumnRenamed("vec_id", "query_id").withColumn("qhash", F.xxhash64("v", "wide")).drop("copies"), "queries")
+    order = Window.partitionBy("query_id", "qhash").orderBy(F.desc("score"), "vec_id")
+    vectors, queries = every_vector.where("v IS NOT NULL"), every_query.where("v IS NOT NULL").select("query_id", "qhash", "v")
+    found = _indexed(vectors, queries, k, regions, shard, query_block, order)
+    rows = found.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.least("copies", F.lit(k).cast("long")))))
+    if not every_vector.where("wide IS NOT NULL").isEmpty():
+        wide = _exact_blocks(every_query, every_vector, k)
+        digits = rows.select("query_id", "qhash", "vec_id", F.col("score").cast("string").alias("digits")).unionByName(wide)
+        rows = digits.select("query_id", "qhash", "vec_id", F.col("digits").try_cast("long").alias("score"), _sortable(F.col("digits")).alias("key"))
+        order = Window.partitionBy("query_id", "qhash").orderBy(F.desc("key"), "vec_id")
+    return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+# Beyond any product of two vectors of float64 numbers: 2 x (1024 + scale) bits and room for their sum.
+_OFFSET = 1 << 2400
+
+
+def _sortable(digits: Column) -> Column:
+    """Texts in the order of the whole numbers that the digits are."""
+
+    @F.pandas_udf("string")
+    def key(values: pd.Series) -> pd.Series:
+        return values.map(lambda x: f"{int(x) + _OFFSET:0608x}")
+
+    return key(digits)
+
+
+def _exact_blocks(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
+    """(query_id, qhash, vec_id, digits): at least the k best of the pairs that the trees leave out.
+
+    That is wide queries with all vectors, other queries with wide ones; rows of a vector count each.
+    """
+
+    def whole(v, wide, scale) -> list[int]:
+        return [math.floor(int(x) * scale if abs(x) >= 2.0**53 else x * scale) for x in wide] if wide is not None else [int(x) for x in v]
+
+    def floats(rows: list[list[int]], dims: int) -> np.ndarray:
+        out = np.zeros((len(rows), dims))
+        for i, row in enumerate(rows):
+            out[i, : len(row)] = [float(x) if abs(x) < 1 << 1000 else np.inf for x in row]
+        return out
+
+    def search(key: tuple, asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        rows = [whole(*r) for r in zip(held["v"], held["wide"], held["scale"], strict=True)]
+        is_wide, ids, copies = held["wide"].notna().to_numpy(), held["vec_id"].tolist(), held["copies"].tolist()
+        for q in asked.itertuples():
+            one = whole(q.v, q.wide, q.scale)
+            allowed = (is_wide | (q.wide is not None)) & (held["vec_id"].to_numpy() != q.query_id)
+            at = np.flatnonzero(allowed)
+            if not len(at):
+                continue
+            dims = max(len(one), *(len(rows[i]) for i in at))
+            with np.errstate(all="ignore"):
+                x, y = floats([rows[i] for i in at], dims), floats([one], dims)[0]
+                top = max(np.abs(y).max(initial=0.0), 1.0)
+                score, room = x @ (y / top), 1e-11 * (np.abs(x) @ np.abs(y / top)) + 1e-300
+                low = np.sort(np.where(np.isfinite(score - room), score - room, -np.inf))[::-1]
+                bar = low[k - 1] if len(low) >= k else -np.inf
+                keep = at[~(score + room < bar)]
+            exact = sorted(((-sum(a * b for a, b in zip(one, rows[i])), ids[i], copies[i]) for i in keep))[:k]
+            out += [(q.query_id, q.qhash, vec_id, str(-minus)) for minus, vec_id, n in exact for _ in range(min(n, k))]
+        return pd.DataFrame(out, columns=["query_id", "qhash", "vec_id", "digits"])
+
+    blocks = max(1, -(-queries.count() // WIDE_QUERIES))
+    deal = lambda n, *c: F.pmod(F.xxhash64(*c), F.lit(n)).cast("int")
+    rows = max(1, -(-vectors.count() // ROW_BLOCK))
+    asked = queries.withColumn("q", deal(blocks, "query_id", "qhash")).withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(rows - 1))))
+    held = vectors.withColumn("r", deal(rows, "vec_id")).withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    return asked.groupBy("q", "r").cogroup(held.groupBy("q", "r")).applyInPandas(search, "query_id long, qhash long, vec_id long, digits string")
+
+
+def _indexed(vectors: DataFrame, queries: DataFrame, k: int, regions: int, shard: int, query_block: int, order) -> DataFrame:
+    """(query_id, qhash, vec_id, score, copies): at least the k best of vectors and queries that are not wide."""
+    spark = vectors.sparkSession
     squares = F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + x * x)
     n, dims, top = vectors.agg(F.count("*"), F.max(F.size("v")), F.max(squares)).first()
-    empty = "query_id long, rank int, vec_id long, score long"
+    empty = "query_id long, qhash long, vec_id long, score long, copies long"
     n_queries = queries.count()
     if not n or not n_queries or not dims:
         top, dims = top or 0, max(dims or 1, 1)
@@ -207,10 +299,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, regions: int = RE
             d = np.stack([_distances(x, p) for p in pivots], axis=1)
             near = d.argmin(1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("vec_id"), batch.column("v"), pa.array(near.astype(np.int32)), pa.array(d[np.arange(len(x)), near])],
-                names=["vec_id", "v", "region", "distance"])
+                [batch.column("vec_id"), batch.column("v"), batch.column("copies"), pa.array(near.astype(np.int32)), pa.array(d[np.arange(len(x)), near])],
+                names=["vec_id", "v", "copies", "region", "distance"])
 
-    placed = stage(vectors.mapInArrow(assign, "vec_id long, v array<long>, region int, distance double"), "placed")
+    placed = stage(vectors.select("vec_id", "v", "copies").mapInArrow(
+        assign, "vec_id long, v array<long>, copies long, region int, distance double"), "placed")
     sizes = placed.groupBy("region").agg(F.count("*").alias("n"), F.max("distance").alias("radius")).collect()  # one per pivot
     shards = {r["region"]: -(-r["n"] // shard) for r in sizes}
     radius = {r["region"]: r["radius"] for r in sizes}
@@ -221,7 +314,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, regions: int = RE
         v = np.zeros((len(rows), dims), dtype=np.int64)
         for i, x in enumerate(rows["v"]):
             v[i, : len(x)] = x
-        pages = pd.DataFrame(Builder(rows["vec_id"].to_numpy(), v, top).pages)
+        pages = pd.DataFrame(Builder(rows["vec_id"].to_numpy(), v, top, rows["copies"].to_numpy()).pages)
         return pages.assign(region=key[0], shard=key[1])[[c.split()[0] for c in _PAGES.split(", ")]]
 
     pages = stage(sharded.groupBy("region", "shard").applyInPandas(build, _PAGES), "mtree-pages")
@@ -245,7 +338,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, regions: int = RE
                         visit = [home[i]]
                     else:
                         bar = batch.column("bar")[i].as_py()
-                        most = (whole[i] - low[i] ** 2) / 2 + SLACK
+                        most = (whole[i] - low[i] ** 2) / 2 + SLACK + ROUNDING * whole[i]
                         visit = [r for r in np.flatnonzero(np.isfinite(low[i])) if r != home[i] and (bar is None or most[r] >= bar)]
                     rows += [(i, int(r), s) for r in visit for s in range(shards[int(r)])]
                 at = pa.array([r[0] for r in rows], pa.int64())
@@ -267,18 +360,18 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, regions: int = RE
                 q[: len(r.v)] = r.v
                 limit = None if pd.isna(r.bar) else (int(r.bar), int(r.bar_id))
                 found, _ = tree.best(r.query_id, q, k, limit)
-                out += [(r.query_id, r.qhash, -minus, score) for score, minus in found]
-        return pd.DataFrame(out, columns=["query_id", "qhash", "vec_id", "score"]).astype("int64")
-
-    order = Window.partitionBy("query_id", "qhash").orderBy(F.desc("score"), "vec_id")
+                out += [(r.query_id, r.qhash, -minus, score, n) for score, minus, n in found]
+        return pd.DataFrame(out, columns=["query_id", "qhash", "vec_id", "score", "copies"]).astype("int64")
 
     def visit(asked: DataFrame, first: bool) -> DataFrame:
         block = F.pmod(F.xxhash64("query_id", "qhash"), F.lit(blocks)).cast("int")
-        sent = asked.mapInArrow(route(first), routed).withColumn("block", block)
-        copies = pages.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        sent = stage(asked.mapInArrow(route(first), routed).withColumn("block", block), "routed")
+        # The pages of a shard, once for each block of queries that visits it.
+        visited = sent.select(F.col("region").alias("_r"), F.col("shard").alias("_s"), F.col("block").alias("_b")).distinct()
+        copies = pages.join(visited, (F.col("region") == F.col("_r")) & (F.col("shard") == F.col("_s"))).withColumn(
+            "block", F.col("_b")).drop("_r", "_s", "_b")
         keys = ["region", "shard", "block"]
-        return sent.groupBy(*keys).cogroup(copies.groupBy(*keys)).applyInPandas(
-            search, "query_id long, qhash long, vec_id long, score long")
+        return sent.groupBy(*keys).cogroup(copies.groupBy(*keys)).applyInPandas(search, empty)
 
     none = F.lit(None).cast("long")
     start = queries.withColumns({"bar": none, "bar_id": none})
@@ -287,5 +380,4 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, regions: int = RE
     bars = near.withColumn("r", F.row_number().over(order)).where(F.col("r") == k).select(
         "query_id", "qhash", F.col("score").alias("bar"), F.col("vec_id").alias("bar_id"))
     again = queries.join(bars, ["query_id", "qhash"], "left").select("query_id", "v", "qhash", "bar", "bar_id")
-    every = near.unionByName(visit(again, False))
-    return every.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return near.unionByName(visit(again, False))
