@@ -1,38 +1,42 @@
-"""Trade books for the surveillance tests."""
+"""Trade books for the surveillance tests: regular trading by rule, and trades that break it.
 
-import datetime as dt
+Prices swing by a sine around each commodity's level, sizes follow a triangular draw, deals run 2, 6 or 10 hours.
+"""
 
-import numpy as np
+import datetime as dt
+import math
+import random
 
 SCHEMA = ("trade_id string, trader_id string, counterparty string, commodity string, buy_sell string, "
           "volume_mw double, price_eur_mwh double, delivery_start timestamp, delivery_end timestamp, created_at timestamp")
-BASE = dt.datetime(2026, 8, 19)
-LEVELS = {"POWER": 85.0, "NATURAL_GAS": 42.5}
+OPENED = dt.datetime(2025, 3, 3, 8)
+LEVELS = {"POWER": 61.0, "NATURAL_GAS": 29.0}
 
 
-def rows(n, seed):
-    rng = np.random.default_rng(seed)
+def rows(n, seed, first=10_000):
+    rnd = random.Random(seed)
     out = []
-    for i in range(1, n + 1):
-        commodity = ["POWER", "NATURAL_GAS"][rng.integers(2)]
-        price = max(round(float(rng.normal(LEVELS[commodity], LEVELS[commodity] * 0.06)), 2), 0.01)
-        volume = float(np.clip(round(float(rng.lognormal(3.0, 0.7)), 2), 0.5, 500.0))
-        start = BASE + dt.timedelta(days=int(rng.integers(1, 31)))
-        hours = int(rng.choice([1, 4, 12, 24]))
-        out.append((f"TRD-{i:05d}", f"TRADER-{rng.integers(101, 111)}", f"House_{rng.integers(6)}", commodity,
-                    ["BUY", "SELL"][rng.integers(2)], volume, price, start, start + dt.timedelta(hours=hours), BASE))
+    for i in range(n):
+        commodity = rnd.choice(sorted(LEVELS))
+        price = LEVELS[commodity] * (1 + 0.09 * math.sin(rnd.uniform(0, 2 * math.pi)))
+        begin = OPENED + dt.timedelta(hours=12 * rnd.randrange(40))
+        out.append((f"TRD-{first + i}", f"desk{rnd.randrange(8)}", f"Utility {rnd.choice('ABCDE')}", commodity, rnd.choice(("SELL", "BUY")),
+                    round(rnd.triangular(4, 60, 18), 1), round(price, 3), begin, begin + dt.timedelta(hours=rnd.choice((2, 6, 10))), OPENED))
     return out
 
 
-def planted():
-    def one(i, trader, party, commodity, side, volume, price, hours):
-        return (f"TRD-9900{i}", trader, party, commodity, side, volume, price, BASE, BASE + dt.timedelta(hours=hours), BASE)
-
-    return [
-        one(1, "TRADER-101", "ShadowCo", "POWER", "BUY", 50.0, 950.0, 4),
-        one(2, "TRADER-102", "House_1", "POWER", "SELL", 4800.0, 88.0, 1),
-        one(3, "TRADER-103", "House_2", "NATURAL_GAS", "BUY", 30.0, 0.5, 12),
-    ]
+def odd(kind, number):
+    """One trade that departs from the book in one respect."""
+    base = rows(1, 0, number)[0]
+    change = {
+        "price up": {"price_eur_mwh": 17 * LEVELS[base[3]]},
+        "price down": {"price_eur_mwh": LEVELS[base[3]] / 40},
+        "size": {"volume_mw": 3300.0},
+        "length": {"delivery_end": base[7] + dt.timedelta(hours=700)},
+        "party": {"counterparty": "Unheard of", "trader_id": "desk99"},
+    }[kind]
+    names = [c.split()[0] for c in SCHEMA.split(", ")]
+    return tuple(change.get(name, value) for name, value in zip(names, base, strict=True))
 
 
 def frame(spark, data):

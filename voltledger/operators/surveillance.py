@@ -86,9 +86,14 @@ def relative_risk(raw: Column, ends: Column) -> Column:
 
 
 def baseline_rows(baseline: DataFrame) -> dict[str, Mapping[str, float]]:
-    """The baseline as literals: one row per feature, nine at most."""
-    rows = baseline.where(F.col("feature").isin(*S.FEATURES)).limit(len(S.FEATURES)).collect()
-    return {r["feature"]: r.asDict() for r in rows}
+    """The baseline as literals: exactly one row per feature it covers."""
+    held = baseline.where(F.col("feature").isin(*S.FEATURES))
+    # One row more than there may be shows a table with two baselines without reading it all.
+    rows = held.limit(len(S.FEATURES) + 1).collect()
+    found = {r["feature"]: r.asDict() for r in rows}
+    if len(found) != len(rows):
+        raise ValueError("the baseline holds a feature more than once")
+    return found
 
 
 def with_top_reason(
@@ -119,7 +124,9 @@ def with_top_reason(
 def drift_report(features: DataFrame, baseline: DataFrame, threshold: float = S.DRIFT_SIGMA) -> DataFrame:
     """Features whose batch mean has left the training baseline."""
     current = feature_means(features)
-    joined = current.join(F.broadcast(baseline.where(F.col("feature").isin(*S.FEATURES)).limit(len(S.FEATURES))), "feature")
+    base = baseline_rows(baseline)
+    held = baseline.sparkSession.createDataFrame([(f, r["mean"], r["std"]) for f, r in base.items()], "feature string, mean double, std double")
+    joined = current.join(F.broadcast(held), "feature")
     shift = X.sigma_shift(F.col("current_mean"), F.col("mean"), F.col("std"))
     return joined.where(shift > threshold).select(
         "feature",
