@@ -3,7 +3,9 @@
 import numpy as np
 import pytest
 
-from voltledger.operators import joins
+from pyspark.sql import functions as F
+
+from voltledger.operators import joins, quantiles
 from voltledger.operators.quantiles import exact_quantiles
 
 RNG = np.random.default_rng(5)
@@ -73,3 +75,35 @@ def test_lookup_with_hot_null_and_absent_keys(spark):
     values = {"hot": 1} | {f"k{i}": i + 2 for i in range(37)}
     got = {r.id: r.v for r in joins.lookup_join(left, right, "k").collect()}
     assert got == {i: values.get(k) for i, k in enumerate(keys)}
+
+
+@pytest.mark.parametrize("accuracy", [20, 200, 5000])
+def test_sketched_quantiles_stay_within_their_rank_error(spark, accuracy):
+    n = 20_000
+    df = spark.range(n).select((F.col("id") % 3).alias("g"), F.pow(F.pmod(F.xxhash64("id"), F.lit(100_003)).cast("double"), 1.5).alias("x"))
+    df = df.unionByName(spark.createDataFrame([(0, None), (1, float("nan")), (None, 5.0)], "g long, x double"))
+    rows = [(r.g, r.x) for r in df.collect()]
+    for p in (0.02, 0.5, 0.9):
+        got = {r.g: r.q for r in quantiles.quantile(df, "x", ["g"], p, "q", accuracy).collect()}
+        assert set(got) == {0, 1, 2}
+        for g, q in got.items():
+            held = sorted(x for k, x in rows if k == g and x is not None and x == x)
+            assert abs(sum(x <= q for x in held) - p * len(held)) <= len(held) / accuracy + 1
+    whole = quantiles.quantile(df, "x", accuracy=accuracy).first().quantile
+    exact = quantiles.quantile(df, "x").first().quantile
+    assert exact == quantiles.exact_quantiles(df, "x").first().quantile
+    assert abs(df.where(F.col("x") <= whole).count() - n / 2) <= n / accuracy + 2
+    with pytest.raises(ValueError):
+        quantiles.quantile(df, "x", accuracy=0)
+
+
+def test_outliers_and_features_take_the_sketch(spark):
+    from voltledger.operators import features, gates
+
+    df = spark.range(5000).select((F.col("id") % 100).cast("double").alias("v")).unionByName(spark.createDataFrame([(9000.0,)], "v double"))
+    exact, rough = (gates.robust_outliers(df, "v", accuracy=a).first() for a in (None, 1000))
+    assert (rough.n, rough.outliers, rough.worst) == (exact.n, exact.outliers, exact.worst) == (5001, 1, 9000.0)
+    assert abs(rough.median - exact.median) <= 1 and abs(rough.mad_scale - exact.mad_scale) <= 2
+    trades = spark.createDataFrame([("POWER", float(i)) for i in range(1, 200)] + [("NATURAL_GAS", 7.0)], "commodity string, price_eur_mwh double")
+    got = {r.commodity: r.reference_price for r in features.reference_price(trades, accuracy=100).collect()}
+    assert abs(got["POWER"] - 100) <= 3 and got["NATURAL_GAS"] == 7.0

@@ -63,8 +63,12 @@ def _counts_of(df: DataFrame, column: str, counts: DataFrame | None) -> DataFram
     return counts.where(F.col("column") == column).select(F.col("entity").alias(column), F.col("rows").alias("_held"))
 
 
-def reference_price(df: DataFrame, market_price: MarketPrice = None, counts: DataFrame | None = None) -> DataFrame:
-    """``df`` plus ``reference_price``: explicit price, batch median, default level, global median, 1."""
+def reference_price(df: DataFrame, market_price: MarketPrice = None, counts: DataFrame | None = None,
+                    accuracy: int | None = None) -> DataFrame:
+    """``df`` plus ``reference_price``: explicit price, batch median, default level, global median, 1.
+
+    Medians are exact, or sketched with ``accuracy`` (``quantiles.quantile``).
+    """
     table = None
     if isinstance(market_price, DataFrame):
         table, market_price = market_price, None
@@ -72,7 +76,7 @@ def reference_price(df: DataFrame, market_price: MarketPrice = None, counts: Dat
     prices = df.withColumn("_price", number("price_eur_mwh"))
 
     def global_median() -> float | None:
-        return quantiles.exact_quantiles(prices, "_price", alias="m").first()["m"]
+        return quantiles.quantile(prices, "_price", alias="m", accuracy=accuracy).first()["m"]
 
     if "commodity" not in df.columns:
         level = explicit.get("POWER")
@@ -82,7 +86,7 @@ def reference_price(df: DataFrame, market_price: MarketPrice = None, counts: Dat
         return df.withColumn("reference_price", F.lit(float(level or 1.0)))
 
     sizes = _counts_of(df, "commodity", counts)
-    medians = quantiles.exact_quantiles(prices, "_price", ["commodity"], alias="_median")
+    medians = quantiles.quantile(prices, "_price", ["commodity"], alias="_median", accuracy=accuracy)
     known = _per_commodity(explicit)
     levels = sizes.join(medians, "commodity", "left")
     if table is not None:
@@ -112,18 +116,18 @@ def concentration(df: DataFrame, column: str, alias: str, counts: DataFrame | No
     )
 
 
-def build_features(df: DataFrame, market_price: MarketPrice = None, keep: Sequence[str] = ()) -> DataFrame:
+def build_features(df: DataFrame, market_price: MarketPrice = None, keep: Sequence[str] = (), accuracy: int | None = None) -> DataFrame:
     """The nine features in fixed order, all finite, after the columns in ``keep``.
 
     Features share names with trade columns, so kept columns of those names are not allowed.
     """
-    return with_features(df, market_price).select(*keep, "_features.*")
+    return with_features(df, market_price, accuracy).select(*keep, "_features.*")
 
 
-def with_features(df: DataFrame, market_price: MarketPrice = None) -> DataFrame:
+def with_features(df: DataFrame, market_price: MarketPrice = None, accuracy: int | None = None) -> DataFrame:
     """``df`` plus ``_features``, a struct of the nine doubles."""
     counts = book_counts(df, [c for c in ("commodity", "counterparty", "trader_id") if c in df.columns])
-    out = reference_price(df, market_price, counts)
+    out = reference_price(df, market_price, counts, accuracy)
     out = concentration(out, "counterparty", "_cp_share", counts)
     out = concentration(out, "trader_id", "_tr_share", counts)
     volume, price, ref = number("volume_mw"), number("price_eur_mwh"), F.col("reference_price")
@@ -154,15 +158,15 @@ def long_features(features: DataFrame) -> DataFrame:
     return features.select(F.explode(pairs).alias("e")).select("e.*")
 
 
-def feature_baseline(features: DataFrame) -> DataFrame:
-    """(feature, mean, std, median) over the training batch."""
+def feature_baseline(features: DataFrame, accuracy: int | None = None) -> DataFrame:
+    """(feature, mean, std, median) over the training batch; medians exact, or sketched with ``accuracy``."""
     entries = [
         F.struct(F.lit(i).alias("_f"), F.lit(f).alias("feature"), F.avg(f).alias("mean"),
                  F.coalesce(F.stddev_samp(f), F.lit(0.0)).alias("std"))
         for i, f in enumerate(S.FEATURES)
     ]
     moments = features.agg(F.array(*entries).alias("all")).select(F.explode("all").alias("e")).select("e.*")
-    medians = quantiles.exact_quantiles(long_features(features), "value", ["feature"], alias="median")
+    medians = quantiles.quantile(long_features(features), "value", ["feature"], alias="median", accuracy=accuracy)
     return moments.join(medians.withColumnRenamed("feature", "_f"), "_f", "left").select("feature", "mean", "std", "median")
 
 

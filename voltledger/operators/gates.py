@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from voltledger import settings as S
 from voltledger.functions.contracts import MARKET_PRICES, TRADES, Contract, coerced, failures
 from voltledger.operators.joins import lookup_join
-from voltledger.operators.quantiles import exact_quantiles
+from voltledger.operators.quantiles import quantile
 from voltledger.session import stage
 
 EXAMPLES = 3
@@ -113,9 +113,12 @@ def robust_outliers(
     by: Sequence[str] = (),
     z: float = S.OUTLIER_Z,
     min_rows: int = S.OUTLIER_MIN_ROWS,
+    accuracy: int | None = None,
 ) -> DataFrame:
     """Median/MAD outliers per group (one group without ``by``).
 
+    Medians are exact; with ``accuracy`` they come from mergeable sketches (``quantiles.quantile``).
+
     Groups with fewer than ``min_rows`` rows are left out.  Where the MAD is zero the
     standard deviation stands in; a scale of zero gives zero outliers and no scale.
     """
@@ -127,9 +130,9 @@ def robust_outliers(
     rows = df.select(*keys, F.when(usable, value).alias("x"))
     counted = rows.groupBy(*keys).agg(
         F.count("x").alias("_n"), F.coalesce(F.stddev_samp("x"), F.lit(0.0)).alias("_std"))
-    median = stage(exact_quantiles(rows, "x", keys, alias="median"), "medians")
+    median = stage(quantile(rows, "x", keys, alias="median", accuracy=accuracy), "medians")
     rows = lookup_join(rows, median, keys).withColumn("dev", F.abs(F.col("x") - F.col("median")))
-    spread = exact_quantiles(rows, "dev", keys, alias="_mad")
+    spread = quantile(rows, "dev", keys, alias="_mad", accuracy=accuracy)
     spread = spread.join(counted, keys).select(
         *keys, F.when(F.col("_mad") > 0, F.col("_mad") * S.MAD_TO_SIGMA).otherwise(F.col("_std")).alias("scale"))
     rows = lookup_join(rows, stage(spread, "spreads"), keys)

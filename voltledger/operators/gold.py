@@ -16,14 +16,13 @@ from voltledger.session import stage
 def latest_price(prices: DataFrame) -> DataFrame:
     """Newest price per commodity; the lowest price breaks a tie.
 
-    Two aggregations that send one row per task and commodity, instead of a window that
-    would sort the prices.
+    One aggregation that sends one row per task and commodity.  Prices that are null or NaN lose ties.
     """
-    newest = stage(prices.groupBy("commodity").agg(F.max("timestamp").alias("market_price_as_of")), "newest")
-    at_newest = prices.join(newest, "commodity").where(F.col("timestamp") == F.col("market_price_as_of"))
-    return at_newest.groupBy("commodity").agg(
-        F.min("price_eur_mwh").alias("latest_market_price"), F.max("timestamp").alias("market_price_as_of")
-    )
+    price = F.col("price_eur_mwh")
+    newest = F.max(F.struct("timestamp", price.isNotNull(), ~F.isnan(price.cast("double")), (-price).alias("low"), price.alias("price")))
+    known = prices.where(F.col("commodity").isNotNull() & F.col("timestamp").isNotNull())
+    return known.groupBy("commodity").agg(newest.alias("n")).select(
+        "commodity", F.col("n.price").alias("latest_market_price"), F.col("n.timestamp").alias("market_price_as_of"))
 
 
 def fallback_price(

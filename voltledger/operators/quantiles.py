@@ -16,6 +16,24 @@ from pyspark.sql import functions as F
 from voltledger.session import stage
 
 
+def quantile(df: DataFrame, value: str, by: Sequence[str] = (), p: float = 0.5, alias: str = "quantile",
+             accuracy: int | None = None) -> DataFrame:
+    """A quantile of ``value`` per group: exact, or from mergeable sketches.
+
+    With ``accuracy`` a every task keeps a sketch per group, sketches merge in one aggregation, and the result is
+    a value whose rank is at most n / a away from the wanted one; memory per group grows with a, not with n.
+    Null, NaN and null keys are left out in both forms.
+    """
+    if accuracy is None:
+        return exact_quantiles(df, value, by, p, alias)
+    if accuracy < 1:
+        raise ValueError("accuracy must be at least 1")
+    keys = list(by)
+    x = F.col(value).cast("double")
+    data = df.select(*keys, x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x")).dropna(subset=keys or None)
+    return data.groupBy(*keys).agg(F.percentile_approx("_x", p, accuracy).alias(alias))
+
+
 def exact_quantiles(df: DataFrame, value: str, by: Sequence[str] = (), p: float = 0.5, alias: str = "quantile") -> DataFrame:
     """Linear-interpolated quantile of ``value`` per group; null, NaN and null keys are left out.
 

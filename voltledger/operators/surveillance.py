@@ -14,7 +14,7 @@ from voltledger.operators.features import (
     MarketPrice, build_features, feature_baseline, feature_means, with_features,
 )
 from voltledger.operators.forest import Forest, fit_forest, score_column, score_metrics
-from voltledger.operators.quantiles import exact_quantiles
+from voltledger.operators.quantiles import quantile
 from voltledger.session import stage
 
 NO_REASON = "n/a"
@@ -27,22 +27,22 @@ class Model:
     metrics: DataFrame
 
 
-def train(trades: DataFrame, key: Sequence[str] = ("trade_id",), trained_at: str = "unknown", **fit) -> Model:
-    """Learn what normal trading looks like."""
-    features = stage(build_features(trades, keep=key), "train-features")
+def train(trades: DataFrame, key: Sequence[str] = ("trade_id",), trained_at: str = "unknown", accuracy: int | None = None, **fit) -> Model:
+    """Learn what normal trading looks like; medians are exact, or sketched with ``accuracy``."""
+    features = stage(build_features(trades, keep=key, accuracy=accuracy), "train-features")
     forest, raw = fit_forest(features, key, **fit)
     forest.trained_at = trained_at
-    return Model(forest, stage(feature_baseline(features), "baseline"), stage(score_metrics(raw, forest), "metrics"))
+    return Model(forest, stage(feature_baseline(features, accuracy), "baseline"), stage(score_metrics(raw, forest), "metrics"))
 
 
-def commodity_market_prices(gold: DataFrame) -> DataFrame:
+def commodity_market_prices(gold: DataFrame, accuracy: int | None = None) -> DataFrame:
     """(commodity, market_price) as carried by the valued trades."""
-    return exact_quantiles(gold, "effective_market_price", ["commodity"], alias="market_price")
+    return quantile(gold, "effective_market_price", ["commodity"], alias="market_price", accuracy=accuracy)
 
 
-def scalar_market_price(gold: DataFrame) -> float | None:
+def scalar_market_price(gold: DataFrame, accuracy: int | None = None) -> float | None:
     """Median effective price over the whole mixed book: the single-number form, power only."""
-    return exact_quantiles(gold, "effective_market_price", alias="m").first()["m"]
+    return quantile(gold, "effective_market_price", alias="m", accuracy=accuracy).first()["m"]
 
 
 def score(trades: DataFrame, model: Model, market_price: MarketPrice = None) -> DataFrame:

@@ -81,9 +81,10 @@ def identifier_whitelist(spark, sf_dir):
 @query(f"""SELECT target, threats = 0 AS clean, CAST(threats AS BIGINT) AS threats, values_checked, rows_checked FROM (
   SELECT 'pages' AS target, sum(len({_hits('url')}) + len({_hits('html')})) AS threats, count(url) + count(html) AS values_checked, count(*) AS rows_checked FROM pages
   UNION ALL SELECT 'nation', sum(len({_hits('n_name')})), count(n_name), count(*) FROM nation
-  UNION ALL SELECT 'conversations', sum(len({_hits('role')}) + len({_hits('text')})), count(role) + count(text), count(*) FROM conversations)""")
+  UNION ALL SELECT 'conversations', sum(len({_hits('role')}) + len({_hits('text')})), count(role) + count(text), count(*) FROM conversations
+  UNION ALL SELECT 'documents', sum(len({_hits('text')}) + len({_hits('lang')}) + len({_hits('source')})), count(text) + count(lang) + count(source), count(*) FROM documents)""")
 def scan_verdict(spark, sf_dir):
-    parts = [scan.scan_summary(M.table(spark, sf_dir, t), t) for t in ("pages", "nation", "conversations")]
+    parts = [scan.scan_summary(M.table(spark, sf_dir, t), t) for t in ("pages", "nation", "conversations", "documents")]
     return reduce(DataFrame.unionByName, parts).drop("columns_inspected")
 
 
