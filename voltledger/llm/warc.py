@@ -1,6 +1,6 @@
 """WARC archives of web pages, compressed per record with a dictionary of their own.
 
-Each task writes one archive (``.warc.zst``): a skippable frame that holds a Zstandard dictionary
+Each task writes one archive (WARC records in Zstandard frames; Spark names the files part-*.txt): a skippable frame that holds a Zstandard dictionary
 built from the archive's own records, then every record as a frame of its own, so that a reader
 needs nothing but the file and can start at any record.
 
