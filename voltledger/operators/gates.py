@@ -181,9 +181,7 @@ def _outlier_finding(stats: DataFrame, column: str) -> DataFrame:
         F.lit("outlier").alias("kind"), F.lit(f"robust_z({column})").alias("check"),
         F.col("outliers").alias("failures"), F.array(F.col("worst").cast("string")).alias("examples"),
         F.format_string(
-            f"%d statistical outlier(s) in '{column}' (robust z > {S.OUTLIER_Z}; worst value %,.2f, median %,.2f)"
-            " - possible data poisoning, review before trusting",
-            "outliers", "worst", "median",
+            S.FINDING_OUTLIERS, "outliers", F.lit(column), F.lit(str(S.OUTLIER_Z)), "worst", "median",
         ).alias("message"),
     )
 
@@ -204,9 +202,8 @@ def validate(
     verdict = batch_verdict(routed, contract.name, max_ratio)
     findings = check_findings(routed, order).select(
         F.lit("check").alias("kind"), "check", "failures", "examples",
-        F.concat(
-            F.lit("check '"), F.col("check"), F.lit("' failed "), F.col("failures").cast("string"),
-            F.lit("x (examples: "), F.array_join("examples", ", "), F.lit(")"),
+        F.format_string(
+            S.FINDING_CHECK, "check", "failures", F.array_join("examples", ", "),
         ).alias("message"),
     )
     findings = findings.unionByName(
@@ -214,9 +211,7 @@ def validate(
             F.lit("verdict").alias("kind"), F.lit("failure_ratio").alias("check"),
             F.col("rows_quarantined").alias("failures"), F.array().cast("array<string>").alias("examples"),
             F.format_string(
-                f"failure ratio %.1f%% exceeds the {max_ratio * 100:.0f}%% limit"
-                " -> batch rejected (possible compromised source)",
-                F.col("failure_ratio") * 100,
+                S.FINDING_RATIO, F.col("failure_ratio") * 100, F.lit(max_ratio * 100.0),
             ).alias("message"),
         )
     )
@@ -234,9 +229,7 @@ def validate(
                 F.lit("plausibility").alias("kind"), F.lit(f"plausible({plausible_column})").alias("check"),
                 F.col("implausible").alias("failures"), F.array().cast("array<string>").alias("examples"),
                 F.format_string(
-                    f"%d price(s) outside the plausible band [{S.PRICE_PLAUSIBLE_MIN}, {S.PRICE_PLAUSIBLE_MAX}] EUR/MWh"
-                    " - check the source unit (a x1000 unit error looks exactly like this)",
-                    "implausible",
+                    S.FINDING_BAND, "implausible", F.lit(str(S.PRICE_PLAUSIBLE_MIN)), F.lit(str(S.PRICE_PLAUSIBLE_MAX)),
                 ).alias("message"),
             )
         )
@@ -246,7 +239,7 @@ def validate(
             replayed_ids(clean, replay_key).where("duplicates > 0").select(
                 F.lit("replay").alias("kind"), F.lit(f"replay({replay_key})").alias("check"),
                 F.col("duplicates").alias("failures"), F.array().cast("array<string>").alias("examples"),
-                F.format_string(f"%d duplicate {replay_key}(s) - possible replay injection", "duplicates").alias("message"),
+                F.format_string(S.FINDING_REPLAY, "duplicates", F.lit(replay_key)).alias("message"),
             )
         )
     if all_stats is None:

@@ -74,3 +74,12 @@ GOLD_DATASETS = ("trades_pnl", "counterparty_risk", "portfolio_summary", "trade_
 MAX_ROWS = 500
 MAX_EXPOSURE_ROWS = 100
 MAX_SUSPICIOUS_ROWS = 200
+
+# Fixed texts: the sentences in which gates report their findings.
+FINDING_CHECK = "check '%s' failed %dx (examples: %s)"
+FINDING_RATIO = "failure ratio %.1f%% exceeds the %.0f%% limit -> batch rejected (possible compromised source)"
+FINDING_OUTLIERS = ("%d statistical outlier(s) in '%s' (robust z > %s; worst value %,.2f, median %,.2f)"
+                    " - possible data poisoning, review before trusting")
+FINDING_BAND = ("%d price(s) outside the plausible band [%s, %s] EUR/MWh"
+                " - check the source unit (a x1000 unit error looks exactly like this)")
+FINDING_REPLAY = "%d duplicate %s(s) - possible replay injection"
