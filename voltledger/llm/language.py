@@ -142,8 +142,8 @@ def train(docs: DataFrame, folds: int = 3, held_out: int = 1, per_language: int
 
     # The ids of smallest hash per language.  Counts by hash range tell which ranges can hold them, so that
     # no task meets all ids of a language.
-    ids = known.select("lang", "doc_id").distinct().withColumn("h", F.xxhash64("doc_id")).withColumn("range", F.shiftright("h", 48))
-    held = ids.groupBy("lang", "range").agg(F.count("*").alias("n"))  # at most 65 536 rows a language
+    ids = known.select("lang", "doc_id").distinct().withColumn("h", F.xxhash64("doc_id")).withColumn("range", F.shiftright("h", 52))
+    held = ids.groupBy("lang", "range").agg(F.count("*").alias("n"))  # at most 4096 rows a language
     before = Window.partitionBy("lang").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     ranges = held.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).where(F.col("before") < per_language)
     order = Window.partitionBy("lang").orderBy("h", "doc_id")
