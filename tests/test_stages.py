@@ -12,6 +12,7 @@ from voltledger.operators.scan import ContentThreat
 from voltledger.plans import medallion
 from voltledger.sources import sinks
 from voltledger.sources.bronze import read_verified
+from voltledger.sources.tables import read_parquet_tree
 from voltledger.streaming.ingest import landed_prices, stream_ingest
 
 START = 1786312800000
@@ -92,10 +93,10 @@ def test_full_run(spark, tmp_path):
     assert first["market rows accepted"] == 48 and first["trades accepted"] == 200 and first["trades quarantined"] == 1
     assert first["trades scored"] == 200
     # The rejected trade does not reach Silver or Gold.
-    assert spark.read.parquet(f"{out}/2_silver/trades").where("commodity = 'CRUDE_OIL'").isEmpty()
-    summary = spark.read.parquet(f"{out}/3_gold/portfolio_summary").collect()
+    assert read_parquet_tree(spark, f"{out}/2_silver/trades").where("commodity = 'CRUDE_OIL'").isEmpty()
+    summary = read_parquet_tree(spark, f"{out}/3_gold/portfolio_summary").collect()
     assert sum(r.total_trades for r in summary) == 200
-    scored = spark.read.parquet(f"{out}/3_gold/trade_surveillance")
+    scored = read_parquet_tree(spark, f"{out}/3_gold/trade_surveillance")
     assert {"scored_at", "top_reason", "model_version", "unrealized_pnl_eur"} <= set(scored.columns)
     assert scored.select("model_version").distinct().first()[0] == "20260819_000000"
     rows, _ = serving.query_data(spark, out, "SELECT risk_band, count(*) AS n FROM trade_surveillance GROUP BY risk_band")

@@ -1,0 +1,123 @@
+"""Replacing whole tables, and reading a source in key ranges."""
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from voltledger.sources import files, sinks, tables, versions
+
+
+def held(spark, path):
+    return sorted(r.id for r in tables.read_parquet_tree(spark, path).collect())
+
+
+def test_a_replaced_table_is_its_newest_version(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    assert not versions.holds_table(spark, path) and tables.read_parquet_tree(spark, path).isEmpty()
+    first = sinks.overwrite(spark.range(3), path)
+    sinks.overwrite(spark.range(5), path)
+    assert held(spark, path) == [0, 1, 2, 3, 4]
+    # Who reads the version before can finish; the one before that is gone after the next replacement.
+    assert first.count() == 3
+    sinks.overwrite(tables.read_parquet_tree(spark, path).where("id > 2"), path)
+    assert held(spark, path) == [3, 4]
+    assert len([p for p in (tmp_path / "t" / versions.VERSIONS).iterdir() if p.is_dir()]) == versions.KEPT
+
+
+def test_a_writer_that_dies_leaves_the_table(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    broken = spark.range(0, 100, 1, 4).withColumn("id", F.when(F.col("id") == 99, F.raise_error(F.lit("lost")).cast("long")).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="lost"):
+        sinks.overwrite(broken, path)
+    assert not versions.holds_table(spark, path)
+    sinks.overwrite(spark.range(4), path)
+    with pytest.raises(Exception, match="lost"):
+        sinks.overwrite(broken, path)
+
+    def half(folder):
+        spark.range(9).write.parquet(folder)
+        raise KeyboardInterrupt
+
+    with pytest.raises(KeyboardInterrupt):
+        versions.publish(spark, path, half)
+    assert held(spark, path) == [0, 1, 2, 3]
+
+
+def test_a_plain_table_is_read_and_then_replaced(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    spark.range(2).withColumn("k", F.lit("x")).write.partitionBy("k").parquet(path)
+    assert held(spark, path) == [0, 1] and versions.current(spark, path) == path
+    sinks.overwrite(tables.read_parquet_tree(spark, path).union(spark.range(7, 8)), path)
+    assert held(spark, path) == [0, 1, 7]
+    assert not list((tmp_path / "t").glob("k=*"))
+
+
+def test_two_writers_of_one_number_agree_on_one(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    sinks.overwrite(spark.range(1), path)
+    for version in ("a" * 32, "b" * 32):
+        spark.range(ord(version[0]), ord(version[0]) + 1).write.parquet(f"{path}/{versions.VERSIONS}/{version}")
+        (tmp_path / "t" / versions.VERSIONS / f"000000000002.{version}.done").touch()
+    assert held(spark, path) == [ord("b")]
+    sinks.overwrite(spark.range(2), path)
+    assert held(spark, path) == [0, 1]
+
+
+def test_the_inventory_counts_current_files(spark, tmp_path):
+    for n in (3, 5):
+        sinks.overwrite(spark.range(n).coalesce(1), f"{tmp_path}/2_silver/t")
+    row = files.inventory(spark, {"2_silver": f"{tmp_path}/2_silver"}).first()
+    assert row.files == 1 and row.fresh_files == 1
+
+
+def source(keys):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE raw_trades (trade_id VARCHAR, n BIGINT)")
+    for i, k in enumerate(keys):
+        con.execute("INSERT INTO raw_trades VALUES (?, ?)", [k, i])
+    return con
+
+
+@pytest.mark.parametrize("keys", [
+    [f"TRD-{i:05d}" for i in range(997)], ["it's", "O'Neil", "a", "Z", "é", "", "ß", "日本"], [None, None, "x"], [None], [], ["same"] * 50 + ["other", None],
+])
+@pytest.mark.parametrize("partitions", [1, 4, 16])
+def test_key_ranges_hold_every_row_once(keys, partitions):
+    con = source(keys)
+    bounds = [k for _, k in sorted(con.execute(tables.key_bounds_sql("raw_trades", "trade_id", partitions)).fetchall())]
+    predicates = tables.key_range_predicates("trade_id", bounds)
+    parts = [con.execute(f"SELECT n FROM raw_trades WHERE {p}").fetchall() for p in predicates]
+    assert sorted(n for part in parts for (n,) in part) == list(range(len(keys)))
+    assert len(predicates) <= partitions + 1 or partitions == 1
+    if len(set(keys)) == len(keys) > 900:
+        assert max(map(len, parts)) <= len(keys) // partitions + 1
+    # A key that arrives after the bounds were asked is read as well.
+    con.execute("INSERT INTO raw_trades VALUES ('~~~', -1), (chr(1), -2)")
+    assert sum(con.execute(f"SELECT count(*) FROM raw_trades WHERE {p}").fetchone()[0] for p in predicates) == len(keys) + 2
+
+
+def test_key_ranges_of_numbers_and_refusals():
+    assert tables.key_range_predicates("id", [10, 20, 30]) == ["id <= 10", "id > 10 AND id <= 20", "id > 20", "id IS NULL"]
+    with pytest.raises(ValueError, match="identifier"):
+        tables.key_bounds_sql("raw_trades; DROP TABLE x", "id", 4)
+    with pytest.raises(ValueError, match="positive"):
+        tables.key_bounds_sql("raw_trades", "id", 0)
+    with pytest.raises(TypeError):
+        tables.key_range_predicates("id", [1.5, 2.5])
+    with pytest.raises(ValueError, match="backslash"):
+        tables.key_range_predicates("id", ["a\\", "b"])
+
+
+def test_line_files_are_scanned_in_parts(spark, tmp_path):
+    good, bad = '{"a": "x", "b": ["y"]}', '{"a": "../../x"}'
+    (tmp_path / "one +1%.json").write_text("\n".join([good] * 400 + [bad, "", "{"]) + "\n")
+    (tmp_path / "two.json").write_text(good)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        threats, report = files.scan_json_files(spark, str(tmp_path), lines=True)
+        found = {r.file.rsplit("/", 1)[-1]: (r.strings_checked, r.threats, r.clean, len(r.sha256)) for r in report.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found == {"one +1%.json": (1602, 2, False, 64), "two.json": (4, 0, True, 64)}
+    assert sorted(r.label for r in threats.collect()) == ["malformed JSON", "path traversal sequence"]
+    assert report.first().scanned_at is not None

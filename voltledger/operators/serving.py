@@ -13,7 +13,8 @@ from voltledger import settings as S
 from voltledger.functions.statements import classify_sql
 from voltledger.operators import guard
 from voltledger.operators.guard import StatementRefused
-from voltledger.sources.tables import dataset_path, exists
+from voltledger.sources import versions
+from voltledger.sources.tables import dataset_path, read_dataset
 
 SUSPICIOUS_COLUMNS = ("trade_id", "counterparty", "commodity", "buy_sell", "volume_mw",
                       "price_eur_mwh", "anomaly_score", "risk_band", "top_reason")
@@ -44,8 +45,8 @@ def list_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def list_lake(spark: SparkSession, root: str) -> DataFrame:
     """(name, columns, rows) of the Gold tables that exist below a lake root."""
-    paths = {name: dataset_path(root, name) for name in S.GOLD_DATASETS}
-    found = {name: spark.read.option("recursiveFileLookup", True).parquet(p) for name, p in paths.items() if exists(spark, p)}
+    found = {name: read_dataset(spark, root, name) for name in S.GOLD_DATASETS
+             if versions.holds_table(spark, dataset_path(root, name))}
     return list_tables(found) if found else spark.createDataFrame([], "name string, columns string, rows long")
 
 
@@ -126,6 +127,29 @@ def latest_reports(reports: DataFrame) -> DataFrame:
     return reports.withColumn("_rn", F.row_number().over(newest)).where("_rn = 1").drop("_rn")
 
 
+_REPORT = ("gates array<struct<rows_clean: bigint, rows_quarantined: bigint>>, overall_passed boolean, n_scored bigint, "
+           "drifted_features array<struct<feature: string>>")
+
+
+def data_quality_status(reports: DataFrame) -> DataFrame:
+    """Newest report of each kind, judged: (kind, stamp, passed, rows, findings, features).
+
+    A quality report passes as its gates did; its findings are the rows in quarantine.  A drift report passes
+    while no feature has left the baseline; its findings are the features that have.
+    """
+    read = latest_reports(reports).select("kind", "stamp", F.from_json("report", _REPORT).alias("r"))
+    quality = F.col("kind") == "quality"
+    names = F.sort_array(F.coalesce("r.drifted_features.feature", F.array().cast("array<string>")))
+    total = lambda c: F.aggregate(f"r.gates.{c}", F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return read.select(
+        "kind", "stamp",
+        F.when(quality, F.col("r.overall_passed")).otherwise(F.size(names) == 0).alias("passed"),
+        F.when(quality, total("rows_clean")).otherwise(F.col("r.n_scored")).alias("rows"),
+        F.when(quality, total("rows_quarantined")).otherwise(F.size(names).cast("bigint")).alias("findings"),
+        names.alias("features"),
+    )
+
+
 def report_names(reports: DataFrame, n: int = 10) -> DataFrame:
     return reports.select(F.concat_ws("_", "kind", F.lit("report"), "stamp").alias("name")).orderBy(F.desc("name")).limit(n)
 
@@ -154,9 +178,8 @@ def query_data(spark: SparkSession, root: str, sql: str, args: Mapping | None =
     session = spark.newSession()
     known, files = set(), set()
     for name in S.GOLD_DATASETS:
-        path = dataset_path(root, name)
-        if exists(spark, path):
-            view = session.read.option("recursiveFileLookup", True).parquet(path)
+        if versions.holds_table(spark, dataset_path(root, name)):
+            view = read_dataset(session, root, name)
             view.createOrReplaceTempView(name)
             known.add(name.lower())
             files |= guard.locations(view)

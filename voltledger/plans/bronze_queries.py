@@ -144,12 +144,31 @@ def layer_inventory(spark, sf_dir):
     return files.inventory(spark, {"1_bronze": sf_dir, "2_silver": out}).select("layer", "files", "bytes", "fresh_files")
 
 
-@query()
+@query("""SELECT event_type, CAST(sum(CASE WHEN value IS NULL THEN 11 ELSE 12 END) AS BIGINT) AS strings_checked, count(*) FILTER (event_type = 'error') AS threats,
+count(*) FILTER (event_type = 'error') AS reported, event_type <> 'error' AS clean, true AS hashed FROM events GROUP BY event_type""")
 def json_file_scan(spark, sf_dir):
-    """Payload texts written as JSON line files: fingerprint and verdict per file."""
+    """Payload texts written as JSON line files, a folder per event type; errors carry a hostile market name."""
     out = scratch_path(spark, "payload-files")
-    _envelopes(spark, sf_dir).select("json").repartition(8).write.text(out)
-    _, report = files.scan_json_files(spark, out)
-    return report.select("sha256", "strings_checked", "threats", "clean")
+    hostile = F.replace("json", F.lit("EPEX_SPOT_GERMANY"), F.lit("../../etc"))
+    texts = _envelopes(spark, sf_dir).withColumn("json", F.when(F.col("event_type") == "error", hostile).otherwise(F.col("json")))
+    texts.select("event_type", "json").write.partitionBy("event_type").text(out)
+    threats, report = files.scan_json_files(spark, out, lines=True)
+    kind = F.regexp_extract("file", "event_type=([^/]+)/", 1).alias("event_type")
+    reported = threats.groupBy(kind).agg(F.count("*").alias("reported"))
+    # Spark's own marker files of the write lie above the folders.
+    return report.where(F.contains("file", F.lit("event_type="))).groupBy(kind).agg(
+        F.sum("strings_checked").alias("strings_checked"), F.sum("threats").alias("threats"), F.every("clean").alias("clean"),
+        F.every(F.length("sha256") == 64).alias("hashed"),
+    ).join(reported, "event_type", "left").withColumn("reported", F.coalesce("reported", F.lit(0)))
+
+
+@query("SELECT o_orderkey, CAST(o_totalprice AS DOUBLE) AS o_totalprice, (SELECT count(*) FROM orders) AS rows_before FROM orders WHERE o_orderstatus = 'F'")
+def replaced_table(spark, sf_dir):
+    """All orders, then the filled ones of the table's own rows in their place; the first reader still has its version."""
+    out = scratch_path(spark, "orders")
+    first = sinks.overwrite(M.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("double")), out)
+    sinks.overwrite(tables.read_parquet_tree(spark, out).where("o_orderstatus = 'F'"), out)
+    before = first.agg(F.count("*")).scalar()
+    return tables.read_parquet_tree(spark, out).select("o_orderkey", "o_totalprice", before.alias("rows_before"))
 
 

@@ -53,8 +53,8 @@ def feature_baseline(spark, sf_dir):
     return X.feature_baseline(features).select("feature", *[F.round(c, 6).alias(c) for c in ("mean", "std", "median")])
 
 
-_DRIFT = f"{_LIVE},\n{Q.baseline()},\n{Q.baseline('live', 'now')}"
-_DRIFT_ROWS = f"""SELECT base.feature, round(base.mean, 4) AS baseline_mean, round(now.mean, 4) AS current_mean,
+DRIFT = f"{_LIVE},\n{Q.baseline()},\n{Q.baseline('live', 'now')}"
+DRIFT_ROWS = f"""SELECT base.feature, round(base.mean, 4) AS baseline_mean, round(now.mean, 4) AS current_mean,
   round({Q.sigma('now.mean', 'base.mean', 'base.std')}, 2) AS shift_sigma, base.std <= 0.000001 AS was_constant_in_training
 FROM base JOIN now ON base.feature = now.feature WHERE {Q.sigma('now.mean', 'base.mean', 'base.std')} > 2.0"""
 
@@ -65,14 +65,14 @@ def _drift(spark, sf_dir):
     return surveillance.drift_report(X.build_features(trades, LIVE_PRICES), baseline)
 
 
-@query(Q.with_(_DRIFT, _DRIFT_ROWS))
+@query(Q.with_(DRIFT, DRIFT_ROWS))
 def drift_report(spark, sf_dir):
     return _drift(spark, sf_dir)
 
 
 @query(Q.with_(
-    _DRIFT,
-    f"SELECT (SELECT count(*) FROM silver) AS n_scored, string_agg(feature, ',' ORDER BY feature) AS drifted_features FROM ({_DRIFT_ROWS})"))
+    DRIFT,
+    f"SELECT (SELECT count(*) FROM silver) AS n_scored, string_agg(feature, ',' ORDER BY feature) AS drifted_features FROM ({DRIFT_ROWS})"))
 def drift_record(spark, sf_dir):
     """The stored drift report: rows scored and drifted features."""
     scored = _silver(spark, sf_dir).withColumn("is_anomaly", F.lit(False))

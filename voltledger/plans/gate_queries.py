@@ -12,7 +12,7 @@ from voltledger.plans.catalog import query
 from voltledger.session import stage
 from voltledger.sources import sinks
 
-_UNIT = """unit AS (
+UNIT = """unit AS (
   SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, epoch_us(l_shipdate) // 1000 AS timestamp_ms, l_extendedprice / l_quantity AS price_eur_mwh
   FROM lineitem),
 routed AS (
@@ -46,13 +46,13 @@ def _routed_label(routed):
     return routed.withColumn("failed_checks", F.array_join(F.transform("failures", lambda f: f["check"]), "|"))
 
 
-@query(Q.with_(_UNIT, "SELECT l_orderkey, l_linenumber, timestamp_ms, price_eur_mwh, array_to_string(failed, '|') AS failed_checks, len(failed) = 0 AS clean FROM routed"))
+@query(Q.with_(UNIT, "SELECT l_orderkey, l_linenumber, timestamp_ms, price_eur_mwh, array_to_string(failed, '|') AS failed_checks, len(failed) = 0 AS clean FROM routed"))
 def price_gate_rows(spark, sf_dir):
     routed = _routed_label(gates.route(M.unit_prices(spark, sf_dir), MARKET_PRICES))
     return routed.select("l_orderkey", "l_linenumber", "timestamp_ms", "price_eur_mwh", "failed_checks", (F.size("failures") == 0).alias("clean"))
 
 
-@query(Q.with_(_UNIT, f"""{_VERDICT} FROM (SELECT 'unit_prices' AS gate, count(*) AS rows_total, count(*) FILTER (len(failed) > 0) AS rows_quarantined FROM routed
+@query(Q.with_(UNIT, f"""{_VERDICT} FROM (SELECT 'unit_prices' AS gate, count(*) AS rows_total, count(*) FILTER (len(failed) > 0) AS rows_quarantined FROM routed
 UNION ALL SELECT 'event_prices', count(*), count(*) FILTER (NOT value BETWEEN -500 AND 4000) FROM events)"""))
 def price_gate_verdict(spark, sf_dir):
     bad = gates.batch_verdict(gates.route(M.unit_prices(spark, sf_dir), MARKET_PRICES), "unit_prices")
@@ -79,7 +79,7 @@ def quarantined_trades(spark, sf_dir):
     return rejected.select("trade_id", "trader_id", F.col("volume_mw").cast("string").alias("volume_mw"), F.array_join("failed_checks", "|").alias("failed_checks"))
 
 
-@query(Q.with_(_UNIT + """,
+@query(Q.with_(UNIT + """,
 f AS (SELECT timestamp_ms, price_eur_mwh, unnest(failed) AS "check" FROM routed),
 e AS (SELECT *, CASE WHEN "check" LIKE '%00000)' THEN CAST(timestamp_ms AS VARCHAR) ELSE CAST(price_eur_mwh AS VARCHAR) END AS value FROM f),
 r AS (SELECT *, row_number() OVER (PARTITION BY "check" ORDER BY timestamp_ms, price_eur_mwh, value) AS rn FROM e)""",
@@ -156,7 +156,7 @@ def quality_report(spark, sf_dir):
         F.array_join("g.findings", "; ").alias("findings"))
 
 
-@query(Q.with_(_UNIT, "SELECT true AS conserved, count(*) AS rows_in, count(*) FILTER (len(failed) = 0) AS rows_clean, count(*) FILTER (len(failed) > 0) AS rows_quarantined FROM routed"))
+@query(Q.with_(UNIT, "SELECT true AS conserved, count(*) AS rows_in, count(*) FILTER (len(failed) = 0) AS rows_clean, count(*) FILTER (len(failed) > 0) AS rows_quarantined FROM routed"))
 def conservation(spark, sf_dir):
     """Clean and quarantined rows together are the input, as multisets."""
     source = M.unit_prices(spark, sf_dir)

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from voltledger.operators import gates, gold, serving, surveillance
+from voltledger.operators import features, gates, gold, serving, surveillance
 from voltledger.operators.quantiles import exact_quantiles
 from voltledger.plans import market_tables as M
 from voltledger.plans import sql_parts as Q
 from voltledger.plans.catalog import query
+from voltledger.plans.feature_queries import DRIFT, DRIFT_ROWS, LIVE_PRICES
+from voltledger.plans.gate_queries import UNIT
 from voltledger.plans.surrogate import surrogate_scored
 from voltledger.session import scratch_path, stage
 from voltledger.sources import sinks
@@ -97,19 +99,29 @@ def report_names(spark, sf_dir):
     return serving.report_names(reports)
 
 
-@query("SELECT kind, true AS passed, rows FROM (SELECT 'drift' AS kind, (SELECT count(*) FROM events) AS rows UNION ALL SELECT 'quality', (SELECT count(*) FROM events))")
+_STATUS = f"""{DRIFT},
+{UNIT},
+drifted AS ({DRIFT_ROWS}),
+judged AS (SELECT count(*) AS n, count(*) FILTER (len(failed) > 0) AS bad FROM routed)"""
+
+
+@query(Q.with_(_STATUS, """SELECT 'quality' AS kind, '20240102_000000' AS stamp, bad / n <= 0.2 AND bad < n AS passed, n - bad AS rows, bad AS findings, '' AS features FROM judged
+UNION ALL SELECT 'drift', '20240102_000000', count(*) = 0, (SELECT count(*) FROM silver), count(*), coalesce(string_agg(feature, ',' ORDER BY feature), '') FROM drifted"""))
 def data_quality_status(spark, sf_dir):
-    """Quality and drift reports written twice each; the newest of each kind is read back."""
+    """Two runs of gate and drift report; the second batch breaks the price limits and its market prices have moved."""
     out = scratch_path(spark, "reports")
-    gate = gates.validate_market_prices(M.price_series(spark, sf_dir))
-    for stamp in ("20240101_000000", "20240102_000000"):
-        sinks.write_report(sinks.quality_report([gate], stamp), out, "quality", stamp)
-        sinks.write_report(gate.verdict.select(F.lit(stamp).alias("batch_source"), F.col("rows_total").alias("n_scored")), out, "drift", stamp)
-    newest = serving.latest_reports(sinks.read_reports(spark, out))
-    get = lambda p: F.get_json_object("report", p)
-    return newest.select(
-        "kind", (get("$.batch_source") == F.lit("20240102_000000")).alias("passed"),
-        F.coalesce(get("$.gates[0].rows_clean"), get("$.n_scored")).cast("bigint").alias("rows"))
+    trades = stage(M.silver_trades(spark, sf_dir), "silver")
+    trained = stage(features.build_features(trades), "features")
+    baseline = stage(features.feature_baseline(trained), "baseline")
+    scored = trades.select(F.lit(False).alias("is_anomaly"))
+    runs = {"20240101_000000": (M.price_series(spark, sf_dir), trained),
+            "20240102_000000": (M.unit_prices(spark, sf_dir), features.build_features(trades, LIVE_PRICES))}
+    for stamp, (batch, book) in runs.items():
+        gate = gates.validate_market_prices(batch)
+        sinks.write_report(sinks.quality_report([gate], "prices"), out, "quality", stamp)
+        drift = surveillance.drift_report(book, baseline)
+        sinks.write_report(sinks.drift_summary(drift, scored), out, "drift", stamp)
+    return serving.data_quality_status(sinks.read_reports(spark, out)).withColumn("features", F.array_join("features", ","))
 
 
 @query(Q.with_(Q.RISK, """SELECT * FROM (SELECT counterparty, commodity, total_notional_eur, (SELECT count(*) > 500 FROM risk) AS truncated FROM risk
