@@ -231,7 +231,7 @@ def paired_terms(coded: DataFrame, counts: DataFrame, total: int, ones: int, tel
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 5, held_out: int = 0,
           sample_size: int = SAMPLE_SIZE, buckets: int = BUCKETS, min_docs: int = 4, min_z: float = 4.0,
-          max_terms: int = MAX_TERMS, min_pair_z: float = 6.0) -> FactorizationMachine:
+          max_terms: int = MAX_TERMS, min_pair_z: float = 8.0) -> FactorizationMachine:
     ship_package(docs.sparkSession)
     sample = samples.smallest_by_hash(samples.labelled(labels, label, folds, held_out), sample_size)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(sample, "doc_id")
