@@ -5,10 +5,12 @@ import io
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from voltledger import settings as S
-from voltledger.operators import surveillance
-from voltledger.plans import feature_queries, surrogate
+from voltledger.functions import signatures
+from voltledger.operators import scan, surveillance
+from voltledger.plans import feature_queries, medallion
 from voltledger.plans import market_tables as M
 from voltledger.session import stage
 
@@ -60,3 +62,28 @@ def test_sentences_on_constant_and_varying_features(spark):
         # Both are at the cap: the first in feature order.
         f"volume_mw is {S.SIGMA_CAP:.1f} sigma from normal",
     ]
+
+
+def test_all_partitions_are_searched_before_threats_are_named(spark):
+    # A bare limit reads the first partition alone, then a few more at a time: the message named whatever came first.
+    found = spark.range(0, 400, 1, 40).select((F.lit(399) - F.col("id")).alias("id"), F.lit("../x").alias("text"))
+    with pytest.raises(scan.ContentThreat, match="'id': 0, "):
+        scan.require_clean(scan.scan_text(found, "text", ["id"]), "Batch", shown=2)
+
+
+def test_payloads_of_one_partition_are_walked_by_several_tasks(spark, tmp_path, monkeypatch):
+    seen = []
+    monkeypatch.setattr(medallion, "scan_documents", lambda df, *a: seen.append(df.rdd.getNumPartitions()) or scan.scan_documents(df, *a))
+    # Incompressible names make the texts large enough (over 1 MB a task) to be dealt out.
+    json = F.concat(F.lit('{"market":"M","commodity":"POWER","fetched_at":"'), *[F.sha2((F.col("id") * 64 + i).cast("string"), 256) for i in range(12)],
+                    F.lit('","series":[{"timestamp_ms":'), (F.col("id") * 1000 + 1_704_067_200_000).cast("string"), F.lit(',"price_eur_mwh":40.5}]}'))
+    payloads = spark.range(0, 20_000, 1, 1).select(F.col("id").cast("string").alias("file"), json.alias("json"))
+    result = medallion.secure_ingest(payloads, str(tmp_path), "20240101_000000")
+    assert result.gate.judge().rows_clean == 20_000
+    assert seen[0] > 1
+
+
+def test_one_look_rules_out_only_texts_without_signatures():
+    for alternatives in signatures._REQUIRED:
+        for parts in alternatives:
+            assert any(telling in part for telling in signatures._TELLING for part in parts)
