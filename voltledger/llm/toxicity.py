@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltledger.llm import samples, texts
+from voltledger.llm.slices import by_bytes
 from voltledger.session import ship_package, stage
 
 SAMPLE_SIZE = 20_000
@@ -48,6 +49,8 @@ PAIR_TERMS = 1024
 PAIR_TASKS = 4
 PAIR_SIDE = 8
 PAIR_ROWS = 256
+# Terms whose factors are gathered at once; a document with more is a portion of its own.
+SCORE_TERMS = 1 << 16
 
 
 def terms(text: str | None, buckets: int = BUCKETS) -> np.ndarray:
@@ -69,10 +72,16 @@ class FactorizationMachine:
     factors: np.ndarray
 
     def score(self, docs: list[np.ndarray]) -> np.ndarray:
-        """Scores of documents given as their distinct terms."""
-        rows = [self.row_of[d] for d in docs]
-        lengths = np.array([len(r) for r in rows], dtype=np.int64)
-        return texts.sigmoid(_raw(self, np.concatenate(rows or [np.empty(0, np.int32)]), lengths)[0])
+        """Scores of documents given as their distinct terms; factors are gathered for some ``SCORE_TERMS`` terms at once."""
+        lengths = np.array([len(d) for d in docs], dtype=np.int64)
+        upto, out, start = np.cumsum(lengths), np.empty(len(docs)), 0
+        while start < len(docs):
+            done = upto[start - 1] if start else 0
+            stop = max(int(np.searchsorted(upto, done + SCORE_TERMS, side="right")), start + 1)
+            rows = np.concatenate([self.row_of[d] for d in docs[start:stop]])
+            out[start:stop] = texts.sigmoid(_raw(self, rows, lengths[start:stop])[0])
+            start = stop
+        return out
 
 
 def _sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -132,9 +141,11 @@ def fit(docs: list[np.ndarray], y: np.ndarray, chosen: np.ndarray, buckets: int
 def _terms_of(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [terms(t.as_py(), buckets).tobytes() for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("label"), pa.array(rows, pa.binary())], names=["doc_id", "label", "terms"])
+            for start, stop in by_bytes(batch.column("text")):
+                part = batch.slice(start, stop - start)
+                rows = [terms(t.as_py(), buckets).tobytes() for t in part.column("text")]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("label"), pa.array(rows, pa.binary())], names=["doc_id", "label", "terms"])
 
     return run
 
@@ -272,9 +283,11 @@ def score(docs: DataFrame, model: FactorizationMachine, keep: tuple[str, ...] =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = [c for c in batch.schema.names if c != "_text"]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in kept), pa.array(_scores(shared.value, batch.column("_text")))],
-                names=[*kept, "toxic_score"])
+            for start, stop in by_bytes(batch.column("_text")):
+                part = batch.slice(start, stop - start)
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(c) for c in kept), pa.array(_scores(shared.value, part.column("_text")))],
+                    names=[*kept, "toxic_score"])
 
     return rows.mapInArrow(run, f"{schema}, toxic_score double")
 
@@ -286,6 +299,8 @@ def accepted(docs: DataFrame, model: FactorizationMachine, below: float = 0.5) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(_scores(shared.value, batch.column("text")) < below))
+            for start, stop in by_bytes(batch.column("text")):
+                part = batch.slice(start, stop - start)
+                yield part.filter(pa.array(_scores(shared.value, part.column("text")) < below))
 
     return docs.mapInArrow(run, docs.schema)
