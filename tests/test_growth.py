@@ -73,7 +73,12 @@ def test_all_partitions_are_searched_before_threats_are_named(spark):
 
 def test_payloads_of_one_partition_are_walked_by_several_tasks(spark, tmp_path, monkeypatch):
     seen = []
-    monkeypatch.setattr(medallion, "scan_documents", lambda df, *a: seen.append(df.rdd.getNumPartitions()) or scan.scan_documents(df, *a))
+
+    def look(df, *a):
+        seen.append(df.select(F.spark_partition_id()).distinct().count())
+        return scan.scan_documents(df, *a)
+
+    monkeypatch.setattr(medallion, "scan_documents", look)
     # Incompressible names make the texts large enough (over 1 MB a task) to be dealt out.
     json = F.concat(F.lit('{"market":"M","commodity":"POWER","fetched_at":"'), *[F.sha2((F.col("id") * 64 + i).cast("string"), 256) for i in range(12)],
                     F.lit('","series":[{"timestamp_ms":'), (F.col("id") * 1000 + 1_704_067_200_000).cast("string"), F.lit(',"price_eur_mwh":40.5}]}'))
