@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from voltledger import settings as S
 from voltledger.functions import signatures
-from voltledger.operators import scan, surveillance
+from voltledger.functions.contracts import MARKET_PRICES
+from voltledger.operators import features, gates, scan, surveillance
 from voltledger.plans import feature_queries, medallion
 from voltledger.plans import market_tables as M
 from voltledger.session import stage
@@ -92,3 +93,18 @@ def test_one_look_rules_out_only_texts_without_signatures():
     for alternatives in signatures._REQUIRED:
         for parts in alternatives:
             assert any(telling in part for telling in signatures._TELLING for part in parts)
+
+
+def test_entities_are_counted_once_for_two_market_prices(spark, sf_dir, monkeypatch):
+    counted = []
+    book_counts = features.book_counts
+    monkeypatch.setattr(features, "book_counts", lambda df, columns: counted.append(columns) or book_counts(df, columns))
+    feature_queries.top_reason(spark, sf_dir)
+    assert len(counted) == 1
+
+
+def test_row_code_of_gates_is_generated_and_compiled(spark, sf_dir, plain_plans):
+    routed = gates.route(M.unit_prices(spark, sf_dir), MARKET_PRICES)
+    assert "lambda" not in routed._jdf.queryExecution().executedPlan().toString()
+    assert largest_method(routed) < HUGE_METHOD
+    assert largest_method(gates.route(M.raw_trades(spark, sf_dir), M.MAPPED_TRADES)) < HUGE_METHOD

@@ -61,8 +61,9 @@ FROM base JOIN now ON base.feature = now.feature WHERE {Q.sigma('now.mean', 'bas
 
 def _drift(spark, sf_dir):
     trades = _silver(spark, sf_dir)
-    baseline = X.feature_baseline(stage(X.build_features(trades), "features"))
-    return surveillance.drift_report(X.build_features(trades, LIVE_PRICES), baseline)
+    counts = X.feature_counts(trades)
+    baseline = X.feature_baseline(stage(X.build_features(trades, counts=counts), "features"))
+    return surveillance.drift_report(X.build_features(trades, LIVE_PRICES, counts=counts), baseline)
 
 
 @query(Q.with_(DRIFT, DRIFT_ROWS))
@@ -84,8 +85,9 @@ def drift_record(spark, sf_dir):
 def top_reason(spark, sf_dir):
     """Why each trade of the shifted book stands out against the unshifted baseline."""
     trades = _silver(spark, sf_dir)
-    base = surveillance.baseline_rows(X.feature_baseline(stage(X.build_features(trades), "features")))
-    live = X.build_features(trades, LIVE_PRICES, keep=["trade_id"])
+    counts = X.feature_counts(trades)
+    base = surveillance.baseline_rows(X.feature_baseline(stage(X.build_features(trades, counts=counts), "features")))
+    live = X.build_features(trades, LIVE_PRICES, keep=["trade_id"], counts=counts)
     return surveillance.with_top_reason(live, {f: F.col(f) for f in S.FEATURES}, base).select("trade_id", "top_reason")
 
 

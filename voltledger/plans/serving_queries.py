@@ -111,11 +111,12 @@ def data_quality_status(spark, sf_dir):
     """Two runs of gate and drift report; the second batch breaks the price limits and its market prices have moved."""
     out = scratch_path(spark, "reports")
     trades = stage(M.silver_trades(spark, sf_dir), "silver")
-    trained = stage(features.build_features(trades), "features")
+    counts = features.feature_counts(trades)
+    trained = stage(features.build_features(trades, counts=counts), "features")
     baseline = stage(features.feature_baseline(trained), "baseline")
     scored = trades.select(F.lit(False).alias("is_anomaly"))
     runs = {"20240101_000000": (M.price_series(spark, sf_dir), trained),
-            "20240102_000000": (M.unit_prices(spark, sf_dir), features.build_features(trades, LIVE_PRICES))}
+            "20240102_000000": (M.unit_prices(spark, sf_dir), features.build_features(trades, LIVE_PRICES, counts=counts))}
     for stamp, (batch, book) in runs.items():
         gate = gates.validate_market_prices(batch)
         sinks.write_report(sinks.quality_report([gate], "prices"), out, "quality", stamp)
