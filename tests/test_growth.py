@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from voltledger import settings as S
 from voltledger.functions import signatures
 from voltledger.functions.contracts import MARKET_PRICES
+from voltledger.functions.texts import one_decimal
 from voltledger.operators import features, gates, scan, surveillance
-from voltledger.plans import feature_queries, medallion
+from voltledger.plans import feature_queries, medallion, surrogate
 from voltledger.plans import market_tables as M
 from voltledger.session import stage
 
@@ -103,8 +104,22 @@ def test_entities_are_counted_once_for_two_market_prices(spark, sf_dir, monkeypa
     assert len(counted) == 1
 
 
+def test_scored_book_writes_only_what_it_returns(spark, sf_dir, monkeypatch):
+    written = {}
+    monkeypatch.setattr(surrogate, "stage", lambda df, label: written.setdefault(label, stage(df, label)))
+    out = surrogate.surrogate_scored(spark, sf_dir)
+    assert set(written["featured"].columns) - {"_features"} <= set(out.columns)
+
+
 def test_row_code_of_gates_is_generated_and_compiled(spark, sf_dir, plain_plans):
     routed = gates.route(M.unit_prices(spark, sf_dir), MARKET_PRICES)
     assert "lambda" not in routed._jdf.queryExecution().executedPlan().toString()
     assert largest_method(routed) < HUGE_METHOD
     assert largest_method(gates.route(M.raw_trades(spark, sf_dir), M.MAPPED_TRADES)) < HUGE_METHOD
+
+
+def test_one_decimal_is_the_format_of_the_rounded_number(spark):
+    values = [0.0, -0.0, 0.05, 0.25, 0.35, -0.04, -2.25, 99.0, 1e15 + 0.25, 9.99e15, 1e16, 1e300, float("inf"), float("nan"), None]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for r in df.select(one_decimal(F.col("x")).alias("got"), F.format_string("%.1f", F.bround("x", 1)).alias("want")).collect():
+        assert r.got == r.want

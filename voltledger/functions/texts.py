@@ -20,7 +20,9 @@ def general_number(x: Column) -> Column:
 
 
 def one_decimal(x: Column) -> Column:
-    return F.format_string("%.1f", F.bround(x, 1))
+    rounded = F.bround(x, 1)
+    # Decimals are written many times faster than format strings are read; they hold any number below 1e16.
+    return F.when(F.abs(rounded) < 1e16, rounded.try_cast("decimal(18,1)").cast("string")).otherwise(F.format_string("%.1f", rounded))
 
 
 def compact_eur(amount: Column) -> Column:

@@ -17,12 +17,14 @@ from voltledger.plans.market_tables import silver_trades
 from voltledger.session import stage
 
 FLAG_SIGMA = 1.6
+TRADE_COLUMNS = ("trade_id", "counterparty", "commodity", "buy_sell", "volume_mw", "price_eur_mwh")
 
 
 def surrogate_scored(spark: SparkSession, sf_dir: str, trades: DataFrame | None = None) -> DataFrame:
     """Scored Silver trades; ``trades`` is the staged Silver table where the caller has it."""
     trades = stage(silver_trades(spark, sf_dir), "silver") if trades is None else trades
-    featured = stage(with_features(trades), "featured")
+    # Only what the result names is written again.
+    featured = stage(with_features(trades).select(*TRADE_COLUMNS, "_features"), "featured")
     base = baseline_rows(feature_baseline(featured.select("_features.*")))
     own = base["price_deviation_pct"]
     sigma = X.sigma_shift(F.col("_features.price_deviation_pct"), F.lit(own["mean"]), F.lit(own["std"]))
@@ -33,7 +35,7 @@ def surrogate_scored(spark: SparkSession, sf_dir: str, trades: DataFrame | None
     risk = F.col("_risk")
     reasoned = with_top_reason(rated, {f: F.col(f"_features.{f}") for f in S.FEATURES}, base)
     return reasoned.select(
-        "trade_id", "counterparty", "commodity", "buy_sell", "volume_mw", "price_eur_mwh",
+        *TRADE_COLUMNS,
         F.bround(risk, 4).alias("anomaly_score"), (F.col("_s") > FLAG_SIGMA).alias("is_anomaly"),
         X.risk_band(risk).alias("risk_band"), "top_reason",
     )
