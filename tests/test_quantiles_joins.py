@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from voltledger.operators import joins, quantiles
 from voltledger.operators.quantiles import exact_quantiles
+from voltledger.session import stage
 
 RNG = np.random.default_rng(5)
 SHAPES = {
@@ -107,3 +108,23 @@ def test_outliers_and_features_take_the_sketch(spark):
     trades = spark.createDataFrame([("POWER", float(i)) for i in range(1, 200)] + [("NATURAL_GAS", 7.0)], "commodity string, price_eur_mwh double")
     got = {r.commodity: r.reference_price for r in features.reference_price(trades, accuracy=100).collect()}
     assert abs(got["POWER"] - 100) <= 3 and got["NATURAL_GAS"] == 7.0
+
+
+def test_only_the_values_around_the_rank_are_written(spark, monkeypatch):
+    written = {}
+    monkeypatch.setattr(quantiles, "stage", lambda df, label: written.setdefault(label, stage(df, label)))
+    df = spark.range(100_000).selectExpr("id % 2 AS g", "cast(id AS double) - 20000 AS v")
+    got = {r.g: r.q for r in exact_quantiles(df, "v", ["g"], alias="q").collect()}
+    assert got == {0: 29_999.0, 1: 30_000.0}
+    assert written["quantile-values"].count() < 3_000
+
+
+def test_buckets_never_fall_as_values_grow(spark):
+    powers = [2.0**k for k in range(-1074, 1024, 7)] + [1.0, 2.0**0.5, 3.0, 1.7976931348623157e308, np.inf]
+    near = sorted({float(y) for x in powers for y in (np.nextafter(x, 0.0), x, np.nextafter(x, np.inf))})
+    values = [-v for v in reversed(near) if v] + near
+    df = spark.createDataFrame(list(enumerate(values)), "i int, x double").select("i", quantiles._bucket(F.col("x")).alias("b"))
+    buckets = [r.b for r in df.orderBy("i").collect()]
+    assert None not in buckets and buckets == sorted(buckets)
+    # Zero has its own.
+    assert sum(b == 0 for b in buckets) == 1
