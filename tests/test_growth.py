@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from voltledger import settings as S
 from voltledger.functions import signatures
 from voltledger.functions.contracts import MARKET_PRICES
-from voltledger.functions.texts import one_decimal
-from voltledger.operators import features, gates, scan, surveillance
+from voltledger.functions.texts import one_decimal, rounded
+from voltledger.operators import features, gates, joins, scan, surveillance
 from voltledger.plans import feature_queries, medallion, surrogate
 from voltledger.plans import market_tables as M
 from voltledger.session import stage
@@ -123,3 +123,45 @@ def test_one_decimal_is_the_format_of_the_rounded_number(spark):
     df = spark.createDataFrame([(v,) for v in values], "x double")
     for r in df.select(one_decimal(F.col("x")).alias("got"), F.format_string("%.1f", F.bround("x", 1)).alias("want")).collect():
         assert r.got == r.want
+
+
+def test_silver_joins_customers_to_orders_and_ranks_numbers(spark, sf_dir, plain_plans):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = M.silver_trades(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = plan.splitlines()
+    # Shuffles by customer hold no line, and no text is a key of the survivor's sort.
+    by_customer = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(o_custkey" in line]
+    assert by_customer and "l_orderkey" not in lines[by_customer[0] + 1]
+    assert all("trade_number" in line.split("Sort [")[1].split(" ASC")[0] for line in lines if "Sort [" in line and "created_at" in line)
+    assert "hashpartitioning(trade_id" not in plan
+
+
+def test_large_written_lookup_needs_no_sort_of_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(joins, "HASHED_KEYS", 10)
+    left = spark.range(500).select("id", F.when(F.col("id") % 5 > 0, F.concat(F.lit("k"), F.col("id") % 30)).alias("k"))
+    right = spark.range(25).select(F.concat(F.lit("k"), "id").alias("k"), F.col("id").alias("v"))
+    want = {i: i % 30 if i % 5 and i % 30 < 25 else None for i in range(500)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for written, operator in ((True, "ShuffledHashJoin"), (False, "SortMergeJoin")):
+            out = joins.lookup_join(left, stage(right), "k", written=written)
+            assert operator in out._jdf.queryExecution().executedPlan().toString()
+            assert {r.id: r.v for r in out.collect()} == want
+        small = joins.lookup_join(left, stage(right.limit(10)), "k", written=True)
+        assert "ShuffledHashJoin" not in small._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rounded_is_round(spark):
+    odd = [0.0, -0.0, -1e-9, 4.9999999e-7, 5e-7, -5e-7, 1.0000005, 2.5000015, 1099511.6277755, 1e15 + 0.3, 1e300, float("inf"), float("-inf"), float("nan"), None]
+    df = spark.createDataFrame([(v,) for v in odd], "x double").union(
+        spark.range(20_000).select(((F.col("id") * 7919 - 10_000) + F.lit(0.5)) / 1e6)).union(
+        spark.range(20_000).select((F.rand(1) - 0.5) * F.pow(F.lit(10.0), F.rand(2) * 16 - 8)))
+    both = df.select("x", rounded(F.col("x"), 6).cast("string").alias("got"), F.round("x", 6).cast("string").alias("want"))
+    assert both.where(~F.col("got").eqNullSafe(F.col("want"))).collect() == []
+    # Both ways are taken.
+    assert 0 < both.where((F.abs("x") < 1e5) & (F.abs(F.abs(F.col("x") * 1e6 - F.rint(F.col("x") * 1e6)) - 0.5) < 1e-3)).count() < 21_000

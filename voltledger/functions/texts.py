@@ -25,6 +25,19 @@ def one_decimal(x: Column) -> Column:
     return F.when(F.abs(rounded) < 1e16, rounded.try_cast("decimal(18,1)").cast("string")).otherwise(F.format_string("%.1f", rounded))
 
 
+def rounded(x: Column, digits: int) -> Column:
+    """``round(x, digits)``, half up, without decimal arithmetic for nearly all numbers.
+
+    A whole number over a power of ten is the double nearest to that decimal. What lies within 1/1000 of a half,
+    and what is too large for the product to be nearer than that, takes the long way. Up to nine digits.
+    """
+    scaled = x * 10.0**digits
+    whole = F.rint(scaled)
+    safe = (F.abs(scaled) < 2.0**40) & (F.abs(scaled - whole) < 0.499)
+    # A zero has no sign in decimals.
+    return F.when(safe, whole / 10.0**digits + 0.0).otherwise(F.round(x, digits))
+
+
 def compact_eur(amount: Column) -> Column:
     """1234567 -> €1.23M."""
     size = F.abs(amount)

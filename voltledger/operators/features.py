@@ -113,7 +113,7 @@ def concentration(df: DataFrame, column: str, alias: str, counts: DataFrame | No
     ratio = F.try_divide(F.col("_held"), total) / F.try_divide(F.lit(1.0), entities)
     known = F.col(column).isNotNull()
     return (
-        lookup_join(df, held.where(known), column)
+        lookup_join(df, held.where(known), column, written=True)
         .withColumn(alias, F.coalesce(ratio, F.lit(0.0))).drop("_held")
     )
 

@@ -36,12 +36,12 @@ def to_silver_prices(series: DataFrame, commodity: str = "POWER") -> DataFrame:
     return first_per_key(prices, "timestamp", ["price_eur_mwh"])
 
 
-def to_silver_trades(trades: DataFrame, order: Sequence | None = None) -> DataFrame:
-    """Typed trades, one per trade_id; without ``order`` all columns decide the survivor."""
+def to_silver_trades(trades: DataFrame, order: Sequence | None = None, key: str = "trade_id") -> DataFrame:
+    """Typed trades, one per ``key``; without ``order`` all columns decide the survivor."""
     typed = trades
     for c in ("volume_mw", "price_eur_mwh"):
         typed = typed.withColumn(c, F.col(c).try_cast("double"))
     for c in TIMESTAMP_COLUMNS:
         if c in trades.columns:
             typed = typed.withColumn(c, F.col(c).try_cast("timestamp"))
-    return first_per_key(typed, "trade_id", order or [c for c in trades.columns if c != "trade_id"])
+    return first_per_key(typed, key, order or [c for c in trades.columns if c != key])

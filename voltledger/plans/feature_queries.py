@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from voltledger import settings as S
+from voltledger.functions.texts import rounded
 from voltledger.operators import features as X
 from voltledger.operators import surveillance
 from voltledger.operators.quantiles import exact_quantiles
@@ -26,25 +27,25 @@ def _silver(spark, sf_dir):
 
 @query(Q.with_(Q.features(), "SELECT trade_id, round(CAST(ref AS DOUBLE), 6) AS reference_price FROM feats_ref"))
 def reference_price(spark, sf_dir):
-    return X.reference_price(_silver(spark, sf_dir)).select("trade_id", F.round("reference_price", 6).alias("reference_price"))
+    return X.reference_price(_silver(spark, sf_dir)).select("trade_id", rounded(F.col("reference_price"), 6).alias("reference_price"))
 
 
 @query(Q.with_(Q.features(reference="CASE b.commodity WHEN 'POWER' THEN 14.5 ELSE m.median_price END"), "SELECT trade_id, round(CAST(ref AS DOUBLE), 6) AS reference_price FROM feats_ref"))
 def scalar_reference_price(spark, sf_dir):
     """A single market price counts for power only."""
-    return X.reference_price(_silver(spark, sf_dir), 14.5).select("trade_id", F.round("reference_price", 6).alias("reference_price"))
+    return X.reference_price(_silver(spark, sf_dir), 14.5).select("trade_id", rounded(F.col("reference_price"), 6).alias("reference_price"))
 
 
 @query(Q.with_(Q.features(), "SELECT trade_id, round(cp_share, 6) AS counterparty_trade_share, round(tr_share, 6) AS trader_trade_share FROM feats_ref"))
 def concentration(spark, sf_dir):
     shares = X.concentration(_silver(spark, sf_dir), "counterparty", "cp")
     return X.concentration(shares, "trader_id", "tr").select(
-        "trade_id", F.round("cp", 6).alias("counterparty_trade_share"), F.round("tr", 6).alias("trader_trade_share"))
+        "trade_id", rounded(F.col("cp"), 6).alias("counterparty_trade_share"), rounded(F.col("tr"), 6).alias("trader_trade_share"))
 
 
 @query(Q.with_(Q.features(), "SELECT trade_id, " + ", ".join(f"round(CAST({f} AS DOUBLE), 6) AS {f}" for f in Q.FEATURE_NAMES) + " FROM feats"))
 def trade_features(spark, sf_dir):
-    return X.build_features(_silver(spark, sf_dir), keep=["trade_id"]).select("trade_id", *[F.round(f, 6).alias(f) for f in S.FEATURES])
+    return X.build_features(_silver(spark, sf_dir), keep=["trade_id"]).select("trade_id", *[rounded(F.col(f), 6).alias(f) for f in S.FEATURES])
 
 
 @query(Q.with_(f"{Q.features()},\n{Q.baseline()}", "SELECT feature, round(mean, 6) AS mean, round(std, 6) AS std, round(median, 6) AS median FROM base"))
