@@ -31,17 +31,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw_trades(spark: SparkSession, sf_dir: str, extra: Sequence[str] = ()) -> DataFrame:
     """lineitem, orders and customer as trades; ids repeat."""
-    return _numbered_trades(spark, sf_dir, extra).select(_trade_id(), *TRADE_COLUMNS[1:], *extra)
+    return _with_texts(_numbered_trades(spark, sf_dir, extra), extra)
 
 
-def _trade_id() -> Column:
-    """``trade_number`` as text, one text per number."""
+def _with_texts(numbered: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Trades with their ids and names in place of the numbers that these are made of; one ``trade_id`` per number."""
     number = F.col("trade_number").cast("string")
-    return F.concat(F.lit("TRD-"), F.lpad(number, F.greatest(F.length(number), F.lit(8)), F.lit("0"))).alias("trade_id")
+    texts = {
+        "trade_id": F.concat(F.lit("TRD-"), F.lpad(number, F.greatest(F.length(number), F.lit(8)), F.lit("0"))),
+        "trader_id": F.concat(F.lit("TRADER-"), (F.col("l_suppkey") % 10 + 101).cast("string")),
+        "commodity": F.when(F.col("l_partkey") % 2 == 0, "POWER").otherwise("NATURAL_GAS"),
+    }
+    return numbered.select(*[texts.get(c, F.col(c)).alias(c) for c in TRADE_COLUMNS], *extra)
 
 
 def _numbered_trades(spark: SparkSession, sf_dir: str, extra: Sequence[str]) -> DataFrame:
-    """Raw trades with ``trade_number`` in the place of ``trade_id``."""
+    """Raw trades with ``trade_number``, ``l_suppkey`` and ``l_partkey`` in the place of the texts made of them."""
     lines, orders, customers = (table(spark, sf_dir, t) for t in ("lineitem", "orders", "customer"))
     # Customers meet the orders, a quarter as many rows as the lines.
     named = orders.join(customers.select("c_custkey", "c_name"), orders.o_custkey == customers.c_custkey)
@@ -50,9 +55,7 @@ def _numbered_trades(spark: SparkSession, sf_dir: str, extra: Sequence[str]) ->
     hours = F.get(F.array(*[F.lit(h).cast("bigint") for h in (1, 4, 12, 24)]), F.col("l_linenumber") % 4)
     return joined.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("trade_number"),
-        F.concat(F.lit("TRADER-"), (F.col("l_suppkey") % 10 + 101).cast("string")).alias("trader_id"),
         F.replace("c_name", F.lit("#"), F.lit("_")).alias("counterparty"),
-        F.when(F.col("l_partkey") % 2 == 0, "POWER").otherwise("NATURAL_GAS").alias("commodity"),
         F.when(F.col("l_linestatus") == "O", "BUY").otherwise("SELL").alias("buy_sell"),
         F.col("l_quantity").alias("volume_mw"),
         # Whole cents over 100 000: the double nearest to the exact five-decimal price.
@@ -60,15 +63,14 @@ def _numbered_trades(spark: SparkSession, sf_dir: str, extra: Sequence[str]) ->
         start.alias("delivery_start"),
         F.timestamp_micros(F.unix_micros(start) + hours * 3_600_000_000).alias("delivery_end"),
         F.col("o_orderdate").cast("timestamp").alias("created_at"),
-        *extra,
+        *dict.fromkeys(("l_suppkey", "l_partkey", *extra)),
     )
 
 
 def silver_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = [c for c in SURVIVOR_ORDER if c.startswith("l_")]
-    # Numbers are sorted and shuffled several times faster than the texts made of them.
-    numbered = to_silver_trades(_numbered_trades(spark, sf_dir, extra), SURVIVOR_ORDER, "trade_number")
-    return numbered.select(_trade_id(), *TRADE_COLUMNS[1:])
+    # Numbers are sorted and shuffled faster than the texts made of them.
+    return _with_texts(to_silver_trades(_numbered_trades(spark, sf_dir, extra), SURVIVOR_ORDER, "trade_number"))
 
 
 def price_series(spark: SparkSession, sf_dir: str) -> DataFrame:
