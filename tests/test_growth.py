@@ -4,6 +4,8 @@ import contextlib
 import io
 import re
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from voltledger import settings as S
 from voltledger.functions import signatures
 from voltledger.functions.contracts import MARKET_PRICES
 from voltledger.functions.texts import one_decimal, rounded
-from voltledger.operators import features, gates, joins, scan, surveillance
+from voltledger.operators import features, forest, gates, joins, sampling, scan, surveillance
 from voltledger.plans import feature_queries, medallion, surrogate
 from voltledger.plans import market_tables as M
 from voltledger.session import stage
@@ -165,3 +167,52 @@ def test_rounded_is_round(spark):
     assert both.where(~F.col("got").eqNullSafe(F.col("want"))).collect() == []
     # Both ways are taken.
     assert 0 < both.where((F.abs("x") < 1e5) & (F.abs(F.abs(F.col("x") * 1e6 - F.rint(F.col("x") * 1e6)) - 0.5) < 1e-3)).count() < 21_000
+
+
+@pytest.mark.parametrize("copies", [1, 2])
+def test_sketch_holds_the_rows_it_needs_only(copies):
+    # Of rows that occur more than once, those after a clearing within a block were mixed up with others.
+    salt, k = sampling.salts(50, 7), 16
+    h = sampling.mix(np.arange(1, 6001, dtype=np.uint64))
+    x = (h >> np.uint64(11)).astype(float)[:, None]
+    sketch, held = sampling.Sketch(salt, k, 1), 0
+    for start in range(0, len(h), 1500):
+        part = slice(start, start + 1500)
+        sketch.add(h[part], np.full(1500, copies), x[part])
+        held = max(held, len(sketch.h) + sum(len(r) for r, _ in sketch._rows))
+    sketch.settle()
+    assert (sketch.x[:, 0] == (sketch.h >> np.uint64(11)).astype(float)).all()
+    for s in range(len(salt)):
+        u = np.concatenate([list(sampling.copies_of(v, 2, salt[s:s + 1], k)) for v in h])[:, 0] if copies == 2 else sampling.numbers(h, salt[s:s + 1])[:, 0]
+        of = np.repeat(h, copies)[np.argsort(u, kind="stable")[:k]]
+        mine = sketch.sample == s
+        assert sorted(sketch.u[mine]) == sorted(u)[:k]
+        assert sorted(sketch.h[sketch.at[mine]]) == sorted(of)
+    assert held < 4000
+
+
+@pytest.mark.parametrize("size", [2, 5, 16, 256])
+def test_forest_walk_is_the_plain_walk(size):
+    rng = np.random.default_rng(3)
+    rows = np.column_stack([rng.normal(0, 1, (900, 5)), rng.integers(0, 4, (900, 3)), np.ones(900)])
+    levels = max(1, int(np.ceil(np.log2(size))))
+    nodes = pd.concat([forest._isolation_tree(t, rows[rng.choice(900, size, replace=False)], levels, 42) for t in range(12)])
+
+    class Nodes:
+        def toPandas(self):
+            return nodes
+
+    model = forest.Forest(Nodes(), size, 12)
+    inner = nodes[nodes.feature >= 0]
+    # Values at a threshold go left; beyond all thresholds in both directions.
+    rows = np.vstack([rows, np.full((1, 9), np.inf), np.full((1, 9), -np.inf), *[np.full((1, 9), t) for t in inner.threshold[:20]]])
+    table = {(r.tree, r.node): r for r in nodes.itertuples()}
+
+    def path(row, tree):
+        node = table[tree, 0]
+        while node.feature >= 0:
+            node = table[tree, 2 * node.node + (2 if row[node.feature] > node.threshold else 1)]
+        return node.depth + float(forest.average_path(node.size))
+
+    got = forest._mean_path(list(rows.T), *forest._tables(model))
+    assert got == pytest.approx([np.mean([path(row, t) for t in range(12)]) for row in rows], rel=1e-12)
