@@ -1,0 +1,137 @@
+"""What a run holds on disk: the published tables and what the present step needs."""
+
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+import books
+from voltledger import session
+from voltledger.operators import features, surveillance, upsert
+from voltledger.plans import market_tables as M
+from voltledger.plans import medallion, model_queries
+from voltledger.session import discard, passing, scratch_root, stage, swept
+from voltledger.sources import bronze
+
+
+def folders(spark):
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {s.getPath().getName() for s in fs.listStatus(path)} if fs.exists(path) else set()
+
+
+def shuffles(spark):
+    """Names of the shuffle files that are there."""
+    held = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (held.apply(i).getName() for i in range(held.size()))
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def gone(look, before):
+    """What ``look`` sees beyond ``before``, once files that are deleted by and by are."""
+    until = time.time() + 20
+    while (left := look() - before) and time.time() < until:
+        time.sleep(0.2)
+    return left
+
+
+def test_full_run_leaves_its_published_tables_only(spark, sf_dir, monkeypatch):
+    seen = {}
+    build_silver, build_gold = medallion.build_silver, medallion.build_gold
+
+    def silver(*a, **k):
+        seen["silver"] = {n.rsplit("-", 1)[0] for n in folders(spark) - staged}
+        return build_silver(*a, **k)
+
+    def gold(*a, **k):
+        seen["gold"] = {n.rsplit("-", 1)[0] for n in folders(spark) - staged}
+        return build_gold(*a, **k)
+
+    monkeypatch.setattr(medallion, "build_silver", silver)
+    monkeypatch.setattr(medallion, "build_gold", gold)
+    staged, shuffled = folders(spark), shuffles(spark)
+    summary = model_queries.full_run(spark, sf_dir)
+    assert {n.rsplit("-", 1)[0] for n in folders(spark) - staged} == {"run"}
+    assert not gone(lambda: shuffles(spark), shuffled)
+    # Of what went before, Silver needs the judged trades and Gold nothing; a copy of the payloads was the run's first work.
+    assert {"gate-trades", "run"} <= seen["silver"] and not seen["silver"] & {"payloads", "envelopes", "series", "numbered", "ledger", "gate-market_prices"}
+    assert seen["gold"] == {"run"}
+    assert {r.measure: r.value for r in summary.collect()}["market rows accepted"] == spark.read.parquet(f"{sf_dir}/events.parquet").count()
+
+
+def test_a_table_that_the_caller_owns_outlives_the_run(spark, tmp_path):
+    prices = spark.createDataFrame([("a", '{"market":"M","commodity":"POWER","series":[{"timestamp_ms":1786312800000,"price_eur_mwh":40.5}]}')], "file string, json string")
+    mine = stage(books.frame(spark, books.rows(40, 1)))
+    medallion.run_all(spark, prices, mine, str(tmp_path), "20260819_000000", trees=5)
+    assert mine.count() == 40
+
+
+def test_staged_tables_go_with_their_block_also_if_it_fails(spark):
+    staged = folders(spark)
+    kept = stage(spark.range(3), "kept")
+    with pytest.raises(ValueError), passing(spark):
+        stage(spark.range(3), "outer")
+        with passing(spark):
+            stage(spark.range(3), "inner")
+        assert {n.rsplit("-", 1)[0] for n in folders(spark) - staged} == {"kept", "outer"}
+        raise ValueError
+    assert {n.rsplit("-", 1)[0] for n in folders(spark) - staged} == {"kept"}
+    discard(spark.range(3))  # nothing that was staged
+    assert kept.count() == 3
+    discard(kept)
+    assert folders(spark) == staged
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    before, setting = shuffles(spark), spark.conf.get(session.SWEEP, None)
+    with swept(spark):
+        out = stage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().repartition("k"))
+    assert not gone(lambda: shuffles(spark), before) and spark.conf.get(session.SWEEP, None) == setting
+    assert out.count() == 7
+
+
+def test_scored_book_is_the_same_in_portions_and_holds_no_feature(spark, monkeypatch):
+    rows = books.rows(300, 4)
+    train, book = books.frame(spark, rows), books.frame(spark, [*rows[:200], ("TRD-90000", None, None, *rows[0][3:])])
+    model = surveillance.train(train, trees=10)
+
+    def scored():
+        written = []
+        monkeypatch.setattr(surveillance, "stage", lambda df, label, *more: written.append((df, *more)) or stage(df, label, *more))
+        out = surveillance.raw_scores(book, model).select("trade_id", "_raw", "_features.*")
+        return sorted(map(repr, out.collect())), written[0]
+
+    whole, (one,) = scored()
+    assert "_features" not in one.columns and len(whole) == 201
+    monkeypatch.setattr(features, "_SENT_KEYS", 1)
+    monkeypatch.setattr(features, "_PORTION_ROWS", 50)
+    parts, several = scored()
+    assert len(several) == 5 and parts == whole
+
+
+def test_training_scores_are_written_without_the_features(spark, monkeypatch):
+    made = []
+    fit = surveillance.fit_forest
+    monkeypatch.setattr(surveillance, "fit_forest", lambda *a, **k: made.append(fit(*a, **k)) or made[-1])
+    surveillance.train(books.frame(spark, books.rows(60, 5)), trees=5)
+    assert made[0][1].columns == ["raw_score"]
+
+
+def test_ledger_keeps_the_first_row_of_every_id(spark, sf_dir):
+    extra = [c for c in M.SURVIVOR_ORDER if c.startswith("l_")]
+    raw = M.raw_trades(spark, sf_dir, extra)
+    want = upsert.insert_if_absent(raw, raw.limit(0), "trade_id", M.SURVIVOR_ORDER).select(*M.TRADE_COLUMNS)
+    staged = folders(spark)
+    got = M.ledger(spark, sf_dir)
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert {n.rsplit("-", 1)[0] for n in folders(spark) - staged} == {"ledger"}
+
+
+def test_landed_files_are_compressed_and_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(bronze, "ROWS_PER_FILE", 10)
+    rows = spark.range(0, 35, 1, 1).select(F.col("id").alias("timestamp_ms"), F.lit(1.5).alias("price_eur_mwh"))
+    target = bronze.land_bronze(rows, str(tmp_path), "20260819_000000")
+    files = [p for p in (tmp_path / "ingest_stamp=20260819_000000").iterdir() if p.name.startswith("part-")]
+    assert target.endswith("ingest_stamp=20260819_000000") and len(files) == 4 and all(p.name.endswith(".json.gz") for p in files)
+    assert sorted(r.timestamp_ms for r in bronze.read_verified(spark, str(tmp_path)).collect()) == list(range(35))
