@@ -103,7 +103,7 @@ def test_scored_book_is_the_same_in_portions_and_holds_no_feature(spark, monkeyp
 
     whole, (one,) = scored()
     assert "_features" not in one.columns and len(whole) == 201
-    monkeypatch.setattr(features, "_SENT_KEYS", 1)
+    monkeypatch.setattr(features, "_KEY_BYTES", 2**40)
     monkeypatch.setattr(features, "_PORTION_ROWS", 50)
     parts, several = scored()
     assert len(several) == 5 and parts == whole
